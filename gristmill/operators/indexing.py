@@ -49,11 +49,11 @@ def dense_index(df: DataFrame, key: str, name: str = "_idx") -> DataFrame:
     totals = placed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_rows"))
     offsets = running_offsets(totals, "_bucket", "_rows", "_offset")
     inside = Window.partitionBy("_bucket").orderBy(key)
-    ranked = placed.withColumn("_rank", F.row_number().over(inside).cast("bigint") - 1)
+    ranked = placed.withColumn("_inner", F.row_number().over(inside).cast("bigint") - 1)
     return (
         ranked.join(offsets, "_bucket")
-        .withColumn(name, F.col("_offset") + F.col("_rank"))
-        .drop("_bucket", "_offset", "_rank")
+        .withColumn(name, F.col("_offset") + F.col("_inner"))
+        .drop("_bucket", "_offset", "_inner")
     )
 
 
@@ -75,12 +75,12 @@ def rank_in_group(df: DataFrame, group: str, index: str, width: int, rank: str,
         F.sum("_rows").over(by_group).alias(size),
     )
     inside = Window.partitionBy(group, "_piece").orderBy(index)
-    ranked = placed.withColumn("_rank", F.row_number().over(inside).cast("bigint") - 1)
+    ranked = placed.withColumn("_inner", F.row_number().over(inside).cast("bigint") - 1)
     same = ranked[group].eqNullSafe(shifts["_g"]) & (ranked["_piece"] == shifts["_p"])
     return (
         ranked.join(shifts, same)
-        .withColumn(rank, F.col("_shift") + F.col("_rank"))
-        .drop("_piece", "_rank", "_g", "_p", "_shift")
+        .withColumn(rank, F.col("_shift") + F.col("_inner"))
+        .drop("_piece", "_inner", "_g", "_p", "_shift")
     )
 
 
