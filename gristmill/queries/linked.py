@@ -278,7 +278,7 @@ _REPORT = " UNION ALL ".join(
     [
         *[
             f"SELECT 'entities' AS section, '{metric}' AS metric, '{entity}' AS item, "
-            f"CAST({'0' if metric == 'errors' else 'count(*)'} AS DOUBLE) AS value, CAST(NULL AS VARCHAR) AS detail FROM {made}"
+            f"CAST({'0 * count(*)' if metric == 'errors' else 'count(*)'} AS DOUBLE) AS value, CAST(NULL AS VARCHAR) AS detail FROM {made}"
             for entity, made in _SIZES
             for metric in ("rows", "valid", "errors")
         ],
