@@ -17,6 +17,21 @@ TERM = r"[\p{L}\p{N}_]{2,}+"
 # ASCII part.
 SPACES = r"\s\x1c-\x1f\x85\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
+# The English stop words of Spark's StopWordsRemover.
+ENGLISH_STOP_WORDS = """
+i me my myself we our ours ourselves you your yours yourself yourselves he him his himself she her
+hers herself it its itself they them their theirs themselves what which who whom this that these
+those am is are was were be been being have has had having do does did doing a an the and but if or
+because as until while of at by for with about against between into through during before after
+above below to from up down in out on off over under again further then once here there when where
+why how all any both each few more most other some such no nor not only own same so than too very s
+t can will just don should now i'll you'll he'll she'll we'll they'll i'd you'd he'd she'd we'd
+they'd i'm you're he's she's it's we're they're i've we've you've they've isn't aren't wasn't
+weren't haven't hasn't hadn't don't doesn't didn't won't wouldn't shan't shouldn't mustn't can't
+couldn't cannot could here's how's let's ought that's there's what's when's where's who's why's
+would
+"""
+
 # Signature of a text without terms: the hash of nothing.
 NO_TERMS = hashlib.md5(b"").hexdigest()
 
@@ -25,10 +40,8 @@ CHARS_PER_TOKEN = 4
 
 
 def default_stop_words() -> list[str]:
-    """The English stop list that ships with Spark."""
-    from pyspark.ml.feature import StopWordsRemover
-
-    return list(StopWordsRemover.loadDefaultStopWords("english"))
+    """The default stop list; callers may pass any other."""
+    return ENGLISH_STOP_WORDS.split()
 
 
 def tokens(text: Column) -> Column:

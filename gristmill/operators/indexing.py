@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # Bound on every table of bucket totals, and so on what a single task or the driver sees.
 BUCKETS = 4096
@@ -87,40 +86,50 @@ def rank_in_group(df: DataFrame, group: str, index: str, width: int, rank: str,
 def first_k(df: DataFrame, keys: list[str], k: int) -> Column:
     """A condition true for exactly the first ``k`` rows in the order of the integer ``keys``.
 
-    Together the keys identify a row. Only histograms of at most ``BUCKETS`` counters are fetched,
-    and the answer is a comparison with constants: the table itself is neither sorted nor shuffled.
+    Together the keys identify a row. At most ``BUCKETS`` counters or keys are fetched at a time, and
+    the answer is a comparison with constants: the table itself is neither sorted nor shuffled.
     """
     if k <= 0:
         return F.lit(False)
     chosen, tied, wanted = F.lit(False), F.lit(True), k
     for key in keys:
-        scope = df.filter(tied).select(F.col(key).cast("bigint").alias("_k"))
-        found = _nth_smallest(scope, wanted)
+        found = _nth_smallest(df.filter(tied).select(F.col(key).cast("bigint").alias("_k")), wanted)
         if found is None:
             return F.lit(True)
-        value, below = found
+        value, below, equal = found
         chosen = chosen | (tied & (F.col(key) < F.lit(value)))
         tied = tied & (F.col(key) == F.lit(value))
         wanted -= below
+        if equal == wanted:
+            break
     return chosen | tied
 
 
-def _nth_smallest(scope: DataFrame, n: int) -> tuple[int, int] | None:
-    """The ``n``-th smallest value of column ``_k`` and the number of rows below it."""
+def _nth_smallest(scope: DataFrame, n: int) -> tuple[int, int, int] | None:
+    """The ``n``-th smallest value of ``_k``, the number of rows below it and of rows equal to it.
+
+    A range of values is narrowed down by histograms until few enough rows are left to be fetched, or
+    until it is a single value.
+    """
     low, high, rows = scope.agg(F.min("_k"), F.max("_k"), F.count("_k")).first()
     if n > rows:
         return None
     below = 0
     while low < high:
-        # The span is below 2^63; decimals keep the offsets exact where bigints could overflow.
-        width = -(-(high - low + 1) // BUCKETS)
-        offset = F.col("_k").cast(T.DecimalType(38, 0)) - F.lit(low).cast(T.DecimalType(38, 0))
-        slot = F.floor(offset / F.lit(width)).cast("int") if width > 1 else offset.cast("int")
         inside = scope.filter((F.col("_k") >= F.lit(low)) & (F.col("_k") <= F.lit(high)))
-        counts = dict(inside.groupBy(slot.alias("s")).agg(F.count(F.lit(1)).alias("c")).collect())
+        if rows <= BUCKETS:
+            values = sorted(row["_k"] for row in inside.collect())
+            value = values[n - below - 1]
+            return value, below + values.index(value), values.count(value)
+        width = -(-(high - low + 1) // BUCKETS)
+        # The span may exceed a bigint; whole decimals keep the offsets exact.
+        offset = f"cast(_k as decimal(38, 0)) - cast({low} as decimal(38, 0))"
+        slot = F.expr(f"cast(({offset}) div cast({width} as decimal(38, 0)) as int)").alias("s")
+        counts = dict(inside.groupBy(slot).agg(F.count(F.lit(1)).alias("c")).collect())
         for number in sorted(counts):
             if below + counts[number] >= n:
                 low, high = low + number * width, min(high, low + (number + 1) * width - 1)
+                rows = counts[number]
                 break
             below += counts[number]
-    return low, below
+    return low, below, rows

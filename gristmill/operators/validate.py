@@ -7,6 +7,7 @@ simple ones (enum membership, ranges, not null) reach the Parquet scan as pushed
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,18 +30,17 @@ ITEM = "_item"
 
 @dataclass(frozen=True)
 class CheckedField:
-    """One field of the result: its coerced value and the rules a row can break."""
+    """One field of the result: its coerced value, when it is fine, and what a row can do wrong.
+
+    ``fine`` is made of plain comparisons, which the scan understands; it may be null for a bad row,
+    which a filter treats like false.
+    """
 
     name: str
     value: Column
+    fine: Column
     broken: list[tuple[Column, str]]
 
-    def fine(self) -> Column:
-        test = F.lit(True)
-        for condition, _ in self.broken:
-            test = test & ~condition
-        return test
-
 
 def spark_type(rule: dict) -> T.DataType:
     return T.LongType() if rule.get("type", "str") == "int" else T.StringType()
@@ -54,7 +54,7 @@ def compile_fields(fields: dict, source: DataFrame, strict_dates: bool = False)
         if name in types:
             reader = _typed_reader(F.col(f"`{name}`"), types[name])
         else:
-            reader = _Reader(F.lit(True), F.lit(None).cast("string"), F.lit(None).cast("bigint"), F.lit(False))
+            reader = _Reader(F.lit(True), F.lit(None).cast("string"), F.lit(None).cast("bigint"))
         checks.append(_check(name, rule, reader, strict_dates))
     return checks
 
@@ -72,21 +72,20 @@ class _Reader:
     missing: Column
     text: Column  # null unless the value is a string
     whole: Column  # null unless the value reads as a whole number
-    numeric: Column  # a number or a text that reads as one, whole or not
 
 
 def _typed_reader(column: Column, data_type: T.DataType) -> _Reader:
     none_text, none_whole = F.lit(None).cast("string"), F.lit(None).cast("bigint")
     missing = column.isNull()
     if isinstance(data_type, T.StringType):
-        return _Reader(missing, column, _whole_from_text(column), F.lit(False))
+        return _Reader(missing, column, _whole_from_text(column))
     if isinstance(data_type, T.BooleanType):
-        return _Reader(missing, none_text, column.cast("bigint"), F.lit(False))
+        return _Reader(missing, none_text, column.cast("bigint"))
     if isinstance(data_type, T.IntegralType):
-        return _Reader(missing, none_text, column.cast("bigint"), F.lit(True))
+        return _Reader(missing, none_text, column.cast("bigint"))
     if isinstance(data_type, (T.DoubleType, T.FloatType, T.DecimalType)):
-        return _Reader(missing, none_text, _whole_from_number(column), F.lit(True))
-    return _Reader(missing, none_text, none_whole, F.lit(False))
+        return _Reader(missing, none_text, _whole_from_number(column))
+    return _Reader(missing, none_text, none_whole)
 
 
 def _whole_from_text(text: Column) -> Column:
@@ -112,49 +111,49 @@ def _variant_reader(item: Column, name: str) -> _Reader:
         .when(kind == "STRING", _whole_from_text(text))
         .otherwise(_whole_from_number(number))
     )
-    return _Reader(kind == "VOID", text, whole, number.isNotNull())
+    return _Reader(kind == "VOID", text, whole)
 
 
 def _check(name: str, rule: dict, reader: _Reader, strict_dates: bool) -> CheckedField:
     kind = rule.get("type", "str")
     value = reader.whole if kind == "int" else reader.text
-    broken: list[tuple[Column, str]] = []
-    if not rule.get("optional"):
-        broken.append((reader.missing, f"{name}: required"))
     given = ~reader.missing
-    unreadable = given & value.isNull()
-
-    def breaks(condition: Column) -> Column:
-        return F.coalesce(given & condition, F.lit(False))
-
+    limits: list[tuple[Column, str]] = []
     if kind == "int":
-        broken.append((unreadable, f"{name}: not an integer"))
+        wrong_type = "not an integer"
         if "ge" in rule:
-            broken.append((breaks(value < rule["ge"]), f"{name}: below {rule['ge']}"))
+            limits.append((value >= rule["ge"], f"below {rule['ge']}"))
         if "le" in rule:
-            broken.append((breaks(value > rule["le"]), f"{name}: above {rule['le']}"))
+            limits.append((value <= rule["le"], f"above {rule['le']}"))
     elif kind == "enum":
-        outside = given & ~F.coalesce(value.isin(enum_values(rule)), F.lit(False))
-        broken.append((outside, f"{name}: not one of the listed values"))
+        wrong_type = "not one of the listed values"
+        limits.append((value.isin(enum_values(rule)), wrong_type))
     else:
-        broken.append((unreadable, f"{name}: not a string"))
-        lengths = rule if kind != "date" else {"min_length": 1}
+        wrong_type = "not a string"
+        lengths = {"min_length": 1} if kind == "date" else rule
         if "min_length" in lengths:
-            short = breaks(F.char_length(value) < lengths["min_length"])
-            broken.append((short, f"{name}: shorter than {lengths['min_length']}"))
+            fits = F.char_length(value) >= lengths["min_length"]
+            limits.append((fits, f"shorter than {lengths['min_length']}"))
         if "max_length" in lengths:
-            long = breaks(F.char_length(value) > lengths["max_length"])
-            broken.append((long, f"{name}: longer than {lengths['max_length']}"))
+            fits = F.char_length(value) <= lengths["max_length"]
+            limits.append((fits, f"longer than {lengths['max_length']}"))
         if kind == "date" and strict_dates:
-            broken.append((breaks(value.try_cast("date").isNull()), f"{name}: not a date"))
-    return CheckedField(name, value.alias(name), broken)
+            limits.append((value.try_cast("date").isNotNull(), "not a date"))
+
+    fine = value.isNotNull()
+    for within, _ in limits:
+        fine = fine & within
+    broken = [(given & value.isNull(), f"{name}: {wrong_type}")]
+    broken += [(F.coalesce(~within, F.lit(False)), f"{name}: {message}") for within, message in limits]
+    if rule.get("optional"):
+        fine = reader.missing | fine
+    else:
+        broken.insert(0, (reader.missing, f"{name}: required"))
+    return CheckedField(name, value.alias(name), fine, broken)
 
 
 def _all_fine(checks: list[CheckedField]) -> Column:
-    test = F.lit(True)
-    for check in checks:
-        test = test & check.fine()
-    return test
+    return reduce(lambda both, check: both & check.fine, checks, F.lit(True))
 
 
 def error_list(checks: list[CheckedField]) -> Column:
@@ -176,7 +175,7 @@ def invalid_records(source: DataFrame, fields: dict, position: str, **options) -
     """``(position, record_json, errors)`` of the rows that fail."""
     checks = compile_fields(fields, source, **options)
     record = F.to_json(F.struct(*[F.col(f"`{c}`") for c in source.columns]))
-    return source.filter(~_all_fine(checks)).select(
+    return source.filter(~F.coalesce(_all_fine(checks), F.lit(False))).select(
         F.col(f"`{position}`"), record.alias("record_json"), error_list(checks).alias("errors")
     )
 
@@ -184,9 +183,8 @@ def invalid_records(source: DataFrame, fields: dict, position: str, **options) -
 def validation_counts(source: DataFrame, fields: dict, **options) -> DataFrame:
     """One row ``(valid, errors)``."""
     fine = _all_fine(compile_fields(fields, source, **options))
-    return source.agg(
-        F.count_if(fine).alias("valid"), F.count_if(~fine).alias("errors")
-    )
+    passed = F.count_if(fine)
+    return source.agg(passed.alias("valid"), (F.count(F.lit(1)) - passed).alias("errors"))
 
 
 def field_coverage(source: DataFrame, fields: list[str]) -> DataFrame:

@@ -74,14 +74,14 @@ def vectors(source: str, name: str = "vec") -> str:
       SELECT id, term, tf, df,
         tf * (ln(CAST(1 + (SELECT count(*) FROM {source}) AS DOUBLE) / CAST(1 + df AS DOUBLE)) + 1) AS raw
       FROM {name}_bag JOIN {name}_voc USING (term)),
-    {name} AS (
+    {name} AS MATERIALIZED (
       SELECT id, term, tf, df, raw / sqrt(sum(raw * raw) OVER (PARTITION BY id)) AS weight FROM {name}_raw)"""
 
 
 def all_pairs(vec: str = "vec", name: str = "sims", threshold: float = 0.92) -> str:
     """CTE ``<name>(i, j, cosine)`` by comparing every pair of texts that shares a term."""
     return f"""
-    {name} AS (
+    {name} AS MATERIALIZED (
       SELECT a.id AS i, b.id AS j, sum(a.weight * b.weight) AS cosine
       FROM {vec} a JOIN {vec} b ON a.term = b.term AND a.id < b.id
       GROUP BY a.id, b.id HAVING sum(a.weight * b.weight) >= CAST({threshold} AS DOUBLE))"""
@@ -100,14 +100,14 @@ def copies(vec: str = "vec", name: str = "groups") -> str:
 def greedy(sims: str = "sims", name: str = "removed") -> str:
     """CTE ``<name>(id)``: one walk over the later members in order, with the list of removed so far."""
     return f"""
-    {name}_in AS (
+    {name}_in AS MATERIALIZED (
       SELECT j, list(i) AS ins, row_number() OVER (ORDER BY j) AS k FROM {sims} GROUP BY j),
     {name}_walk AS (
       SELECT CAST(0 AS BIGINT) AS k, CAST([] AS BIGINT[]) AS gone
       UNION ALL
       SELECT n.k, CASE WHEN list_has_all(w.gone, n.ins) THEN w.gone ELSE list_append(w.gone, n.j) END
       FROM {name}_walk w JOIN {name}_in n ON n.k = w.k + 1),
-    {name} AS (
+    {name} AS MATERIALIZED (
       SELECT unnest(gone) AS id FROM {name}_walk WHERE k = (SELECT max(k) FROM {name}_walk))"""
 
 
