@@ -6,6 +6,7 @@ simple ones (enum membership, ranges, not null) reach the Parquet scan as pushed
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass
 from functools import reduce
 
@@ -24,7 +25,8 @@ WRAPPER_KEYS = ("records", "tickets", "data", "items")
 WHOLE_NUMBER = r"^\s*[+-]?[0-9]+(\.0*)?\s*$"
 WHOLE_PART = r"([+-]?[0-9]+)"
 
-ERRORS = "_errors"
+log = logging.getLogger(__name__)
+
 ITEM = "_item"
 
 
@@ -194,8 +196,8 @@ def field_coverage(source: DataFrame, fields: list[str]) -> DataFrame:
         F.round(F.coalesce(F.avg(_filled(name, types).cast("double")), F.lit(0.0)), 4).alias(f"c{i}")
         for i, name in enumerate(fields)
     ]
-    stacked = ", ".join(f"'{name}', c{i}" for i, name in enumerate(fields))
-    return source.agg(*shares).selectExpr(f"stack({len(fields)}, {stacked}) as (field, coverage)")
+    named = [F.struct(F.lit(name).alias("field"), F.col(f"c{i}").alias("coverage")) for i, name in enumerate(fields)]
+    return source.agg(*shares).select(F.inline(F.array(*named)))
 
 
 def _filled(name: str, types: dict[str, str]) -> Column:
@@ -237,3 +239,12 @@ def first_records(records: DataFrame, order: list[str], n: int) -> DataFrame:
     """
     written = stage(records, "records")
     return written.filter(first_k(written, order, n))
+
+
+def generated_records(responses: DataFrame, batch: str, raw: str, fields: dict, n: int) -> DataFrame:
+    """The first ``n`` valid records of a generation run; a shortfall is logged, not hidden."""
+    records = first_records(harvest_valid(responses, batch, raw, fields), [batch, "item_no"], n)
+    got = records.count()
+    if got < n:
+        log.warning("only %d of %d records were generated", got, n)
+    return records

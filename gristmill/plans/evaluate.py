@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -25,7 +26,6 @@ from gristmill.operators.neardup import THRESHOLD, near_duplicates, removed_ids
 from gristmill.operators.validate import field_coverage, invalid_records, valid_records, validation_counts
 from gristmill.session import stage
 
-ROW = "section string, metric string, item string, value double, detail string"
 FLAGGED_SHOWN = 10
 BAR_CELLS = 20
 
@@ -130,10 +130,7 @@ def evaluate(
 
 
 def union(parts: Sequence[DataFrame]) -> DataFrame:
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionAll(part)
-    return result
+    return reduce(DataFrame.unionAll, parts)
 
 
 def bar(share: Column, cells: int = BAR_CELLS) -> Column:
@@ -146,7 +143,7 @@ def quality_report(result: Evaluation, spec: dict, position: str) -> DataFrame:
     """Report rows ``(section, metric, item, value, detail)`` for reading.
 
     Coverage and label rows carry a bar, and the first flagged records are named by their first field.
-    Labels are to be read by descending count.
+    Within a metric the largest values come first, so labels read by descending count.
     """
     labels = result.metrics.filter(F.col("metric").startswith("label:"))
     totals = labels.groupBy("metric").agg(F.sum("value").alias("total"))
@@ -160,7 +157,7 @@ def quality_report(result: Evaluation, spec: dict, position: str) -> DataFrame:
     ]
     if result.scores is not None:
         parts.append(flagged_rows(result.scores, result.clean, spec, position))
-    return union(parts)
+    return union(parts).orderBy("section", "metric", F.desc("value"), "item")
 
 
 def flagged_rows(scores: DataFrame, records: DataFrame, spec: dict, position: str) -> DataFrame:

@@ -21,11 +21,13 @@ from gristmill.operators.links import (
     fk_violations,
 )
 from gristmill.operators.neardup import near_duplicates
+from gristmill.operators.prompts import prompt_batches
 from gristmill.operators.validate import valid_records, validation_counts
 from gristmill.plans.evaluate import EvaluationOptions, metric, union
 from gristmill.session import stage
 from gristmill.spec import (
     PoolDefaults,
+    content_spec,
     fixed_fk,
     full_fields,
     generation_order,
@@ -75,6 +77,24 @@ def generate_linked(
     return {name: tables[name] for name in spec["entities"]}
 
 
+def authoring_prompts(
+    spark: SparkSession,
+    spec: dict,
+    name: str,
+    rows: int,
+    options: GenerationOptions = GenerationOptions(),
+    seeds: list[dict] | None = None,
+) -> DataFrame:
+    """The prompt table for an authored entity of ``rows`` rows: its pool, or all of them.
+
+    Answers go through ``harvest_valid`` and come back to ``generate_linked`` as ``authored``.
+    """
+    entity = spec["entities"][name]
+    plan = pool_plan(entity, rows, options.pool)
+    wanted = plan.size if plan else rows
+    return prompt_batches(spark, content_spec(name, entity), wanted, seeds=seeds, seed=options.seed)
+
+
 def _entities_read_again(spec: dict) -> set[str]:
     used = set()
     for entity in spec["entities"].values():

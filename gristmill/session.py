@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,14 +44,32 @@ def staging_root(spark: SparkSession) -> str:
     return root
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+_open_scratch: list[list[str]] = []
+
+
+def stage(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """Write ``df`` once to the shared folder and return a scan of it.
 
     Used where a result feeds several later jobs. Unlike a cached or locally checkpointed
     frame the written table survives the loss of any executor, and unlike a checkpointed RDD
-    the scan has real statistics, column pruning and filter pushdown.
+    the scan has real statistics, column pruning and filter pushdown. Inside ``scratch`` the
+    table is dropped at the end unless it is to be kept.
     """
     spark = df.sparkSession
     path = f"{staging_root(spark)}/gristmill/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    if _open_scratch and not keep:
+        _open_scratch[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Drop the tables staged inside once the results that are kept no longer need them."""
+    _open_scratch.append([])
+    try:
+        yield
+    finally:
+        for path in _open_scratch.pop():
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -9,6 +9,7 @@ from gristmill.plans.evaluate import EvaluationOptions
 from gristmill.plans.linked import (
     GenerationOptions,
     all_violations,
+    authoring_prompts,
     evaluate_entities,
     generate_linked,
     linked_report,
@@ -213,6 +214,12 @@ def test_quality_flags_only(spark, market):
     assert rows["judged"] == 80 and rows["judge_overall_mean"] == 4.0
 
 
+def test_authoring_prompts_cover_the_pool(spark):
+    spec = load_spec(MARKETPLACE)
+    needs = lambda rows: authoring_prompts(spark, spec, "offers", rows).agg(F.sum("need")).first()[0]
+    assert needs(8) == 8 and needs(1000) == 250
+
+
 def test_pool_can_be_tuned(spark):
     spec = scale_counts(load_spec(MARKETPLACE), counts={"offers": 60})
     spec["entities"]["offers"].pop("pool")

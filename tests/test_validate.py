@@ -7,6 +7,7 @@ from gristmill.operators.validate import (
     error_list,
     field_coverage,
     first_records,
+    generated_records,
     harvest,
     harvest_valid,
     invalid_records,
@@ -112,6 +113,7 @@ def test_harvest(spark):
         "x", "y", "alone", "p",
     ]
     assert first_records(valid, ["batch_no", "item_no"], 99).count() == 6
+    assert generated_records(raw, "batch_no", "raw", {"a": {"type": "str"}}, 5).count() == 5
     optional = harvest_valid(raw, "batch_no", "raw", {"zz": {"type": "str", "optional": True}})
     assert optional.count() == 7
 
