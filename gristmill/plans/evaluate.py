@@ -64,6 +64,21 @@ def metric(df: DataFrame, section: str, name: str | Column, item: Column | None,
     )
 
 
+def metric_rows(df: DataFrame, rows: Sequence[tuple]) -> DataFrame:
+    """Several metrics ``(section, metric, item, value, detail)`` out of every row of ``df``, in one pass."""
+    structs = [
+        F.struct(
+            F.lit(section).alias("section"),
+            F.lit(name).alias("metric"),
+            (F.lit(item) if item is None or isinstance(item, str) else item).cast("string").alias("item"),
+            value.cast("double").alias("value"),
+            (F.lit(None) if detail is None else detail).cast("string").alias("detail"),
+        )
+        for section, name, item, value, detail in rows
+    ]
+    return df.select(F.inline(F.array(*structs)))
+
+
 def evaluate(
     records: DataFrame,
     spec: dict,
@@ -88,20 +103,30 @@ def evaluate(
 
     counts = validation_counts(records, fields, **strict)
     coverage = field_coverage(valid, list(fields))
-    cleaned = clean.agg(F.count(F.lit(1)).alias("n"))
-    dropped = gone.agg(F.count(F.lit(1)).alias("n"))
+    sizes = clean.agg(F.count(F.lit(1)).alias("kept"))
     diversity = diversity_report(
         clean, position, text, spec["label_fields"], options.ngram_n, options.stop_words
     )
+    valid_count, error_count = F.col("valid"), F.col("errors")
     parts = [
-        metric(counts, "summary", "input_records", None, F.col("valid") + F.col("errors")),
-        metric(counts, "summary", "valid_records", None, F.col("valid")),
-        metric(cleaned, "summary", "clean_records", None, F.col("n")),
-        metric(dropped, "summary", "duplicates_removed", None, F.col("n")),
-        metric(counts, "validation", "errors", None, F.col("errors")),
+        metric_rows(
+            counts,
+            [
+                ("summary", "input_records", None, valid_count + error_count, None),
+                ("summary", "valid_records", None, valid_count, None),
+                ("validation", "errors", None, error_count, None),
+            ],
+        ),
+        metric(sizes, "summary", "clean_records", None, F.col("kept")),
+        metric(gone.agg(F.count(F.lit(1)).alias("n")), "summary", "duplicates_removed", None, F.col("n")),
         metric(coverage, "validation", "coverage", F.col("field"), F.col("coverage")),
-        metric(found.pair_count(), "dedup", "pairs", None, F.col("pairs")),
-        metric(dropped, "dedup", "threshold", None, F.lit(options.dedup_threshold)),
+        metric_rows(
+            found.pair_count(),
+            [
+                ("dedup", "pairs", None, F.col("pairs"), None),
+                ("dedup", "threshold", None, F.lit(options.dedup_threshold), None),
+            ],
+        ),
         metric(diversity, "diversity", F.col("metric"), F.col("item"), F.col("value")),
     ]
 
@@ -116,16 +141,22 @@ def evaluate(
             raw = responses.join(chosen.select(position), position, "left_semi")
         scores = stage(parse_scores(raw, position, dimensions), "scores")
         summary = judge_means(scores, dimensions)
-        parts += [
-            metric(summary, "judge", "judged", None, F.col("judged")),
-            *[metric(summary, "judge", "mean", F.lit(d), F.col(f"`{d}`")) for d in dimensions],
-            metric(summary, "judge", "overall_mean", None, F.col("overall_mean")),
-            metric(summary, "judge", "flagged", None, F.col("flagged")),
-        ]
-        passed = verdict(F.col("judged"), F.col("overall_mean"), options.pass_score)
-        parts.append(metric(summary, "verdict", "verdict", None, F.lit(None), passed))
+        judged, overall = F.col("judged"), F.col("overall_mean")
+        passed = verdict(judged, overall, options.pass_score)
+        parts.append(
+            metric_rows(
+                summary,
+                [
+                    ("judge", "judged", None, judged, None),
+                    *[("judge", "mean", d, F.col(f"`{d}`"), None) for d in dimensions],
+                    ("judge", "overall_mean", None, overall, None),
+                    ("judge", "flagged", None, F.col("flagged"), None),
+                    ("verdict", "verdict", None, F.lit(None), passed),
+                ],
+            )
+        )
     else:
-        parts.append(metric(cleaned, "verdict", "verdict", None, F.lit(None), F.lit("PASS")))
+        parts.append(metric(sizes, "verdict", "verdict", None, F.lit(None), F.lit("PASS")))
     return Evaluation(clean, errors, union(parts), scores)
 
 

@@ -23,7 +23,7 @@ from gristmill.operators.links import (
 from gristmill.operators.neardup import near_duplicates
 from gristmill.operators.prompts import prompt_batches
 from gristmill.operators.validate import valid_records, validation_counts
-from gristmill.plans.evaluate import EvaluationOptions, metric, union
+from gristmill.plans.evaluate import EvaluationOptions, metric, metric_rows, union
 from gristmill.session import stage
 from gristmill.spec import (
     PoolDefaults,
@@ -281,8 +281,11 @@ def evaluate_entities(
         if entity.get("judge") and name in (responses or {}):
             dimensions = entity["judge"]["dimensions"]
             means = judge_means(parse_scores(responses[name], INDEX, dimensions), dimensions)
-            parts.append(metric(means, name, "judged", None, F.col("judged")))
-            parts.append(metric(means, name, "judge_overall_mean", None, F.col("overall_mean")))
+            judged = [
+                (name, "judged", None, F.col("judged"), None),
+                (name, "judge_overall_mean", None, F.col("overall_mean"), None),
+            ]
+            parts.append(metric_rows(means, judged))
     return union(parts) if parts else None
 
 
@@ -294,10 +297,16 @@ def linked_report(
     """Report rows ``(section, metric, item, value, detail)`` of a generation run."""
     checked = validate_entities(tables, spec)
     violations = all_violations(tables, spec)
+    entity, valid, errors = F.col("entity"), F.col("valid"), F.col("errors")
     parts = [
-        metric(checked, "entities", "rows", F.col("entity"), F.col("valid") + F.col("errors")),
-        metric(checked, "entities", "valid", F.col("entity"), F.col("valid")),
-        metric(checked, "entities", "errors", F.col("entity"), F.col("errors")),
+        metric_rows(
+            checked,
+            [
+                ("entities", "rows", entity, valid + errors, None),
+                ("entities", "valid", entity, valid, None),
+                ("entities", "errors", entity, errors, None),
+            ],
+        )
     ]
     if violations is not None:
         violations = stage(violations, "violations")
