@@ -56,8 +56,8 @@ def dense_index(df: DataFrame, key: str, name: str = "_idx") -> DataFrame:
     )
 
 
-def rank_in_group(df: DataFrame, group: str, index: str, width: int, rank: str, size: str) -> DataFrame:
-    """Add the 0-based rank within ``group`` in ``index`` order, and the group's size.
+def rank_in_group(df: DataFrame, group: str, index: str, width: int, rank: str) -> DataFrame:
+    """Add the 0-based rank within ``group`` in ``index`` order.
 
     A group may hold most of the table: it is cut along ``index`` (a dense position) into pieces of
     at most ``width`` rows, ranked apart, and shifted by the sizes of the earlier pieces. Null is a
@@ -65,13 +65,11 @@ def rank_in_group(df: DataFrame, group: str, index: str, width: int, rank: str,
     """
     placed = df.withColumn("_piece", F.floor(F.col(index) / F.lit(width)).cast("bigint"))
     sizes = placed.groupBy(group, "_piece").agg(F.count(F.lit(1)).alias("_rows"))
-    by_group = Window.partitionBy(group)
-    earlier = by_group.orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy(group).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
     shifts = sizes.select(
         F.col(group).alias("_g"),
         F.col("_piece").alias("_p"),
         F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_shift"),
-        F.sum("_rows").over(by_group).alias(size),
     )
     inside = Window.partitionBy(group, "_piece").orderBy(index)
     ranked = placed.withColumn("_inner", F.row_number().over(inside).cast("bigint") - 1)

@@ -70,8 +70,7 @@ def assign_matching(
     and one join resolves whichever a child has drawn. Values shared by many parents are ranked in
     pieces, and the drawn ranks spread a popular value's children over the join's tasks.
     """
-    ranked = rank_in_group(parents, "value", "_idx", PIECE, "_rank", "_size")
-    sizes = ranked.filter(F.col("_rank") == 0).select(F.col("value").alias("_v"), "_size")
+    sizes = parents.groupBy(F.col("value").alias("_v")).agg(F.count(F.lit(1)).alias("_size"))
     behind = via_parents.join(sizes, via_parents["value"].eqNullSafe(sizes["_v"]), "left").select(
         F.col("id").alias("_via"),
         F.lit(True).alias("_known"),
@@ -90,11 +89,11 @@ def assign_matching(
         at.alias("_at"),
         (F.coalesce("_known", F.lit(False)) & ~matched & F.lit(parent_count > 0)).alias(f"{fk}_fallback"),
     )
-    addresses = ranked.select(
-        F.col("id").alias(fk), F.lit(True).alias("_am"), F.col("value").alias("_aw"), F.col("_rank").alias("_aa")
-    ).unionAll(
-        ranked.select("id", F.lit(False), F.lit(None).cast(ranked.schema["value"].dataType), "_idx")
-    )
+    ranked = rank_in_group(parents, "value", "_idx", PIECE, "_rank")
+    value, nothing = F.col("value"), F.lit(None).cast(ranked.schema["value"].dataType)
+    by_rank = F.struct(F.lit(True).alias("_am"), value.alias("_aw"), F.col("_rank").alias("_aa"))
+    by_place = F.struct(F.lit(False).alias("_am"), nothing.alias("_aw"), F.col("_idx").alias("_aa"))
+    addresses = ranked.select(F.col("id").alias(fk), F.inline(F.array(by_rank, by_place)))
     same = (
         (placed["_m"] == addresses["_am"])
         & (placed["_at"] == addresses["_aa"])

@@ -62,17 +62,16 @@ def generate_linked(
     """All entities, parents first: content, foreign keys, copies, scenarios, ids.
 
     ``authored``: rows for entities with ``generate: llm``, with an integer order column ``_pos`` and the
-    content fields. Every table has the dense position ``_idx``. A parent whose rows are read again by
-    its children is written to the shared folder once; drawn keys alone need no parent rows, because an
-    id follows from a position.
+    content fields. Every table has the dense position ``_idx``. A table that took a join is written to the
+    shared folder once, for its children, checks and exports; one of drawn values only is cheaper to draw
+    again. A drawn key needs no parent rows, because an id follows from a position.
     """
     tables: dict[str, DataFrame] = {}
     sizes: dict[str, int] = {}
-    read_again = _entities_read_again(spec)
     for name in generation_order(spec):
         build = _Entity(spark, spec, name, authored or {}, options, tables, sizes)
         table, rows = build.run()
-        tables[name] = stage(table, name) if name in read_again else table
+        tables[name] = stage(table, name) if _took_a_join(spec["entities"][name]) else table
         sizes[name] = rows
     return {name: tables[name] for name in spec["entities"]}
 
@@ -95,19 +94,10 @@ def authoring_prompts(
     return prompt_batches(spark, content_spec(name, entity), wanted, seeds=seeds, seed=options.seed)
 
 
-def _entities_read_again(spec: dict) -> set[str]:
-    used = set()
-    for entity in spec["entities"].values():
-        links = entity.get("relationships", {})
-        if entity.get("per_parent"):
-            used.add(entity["per_parent"]["parent"])
-        for link in links.values():
-            if link.get("match"):
-                used.update((link["ref"], links[link["match"]["via"]]["ref"]))
-        for copied in entity.get("copy", {}).values():
-            if copied["from"] in links:
-                used.add(links[copied["from"]]["ref"])
-    return used
+def _took_a_join(entity: dict) -> bool:
+    links = entity.get("relationships", {}).values()
+    matched = any(link.get("match") for link in links)
+    return bool(is_authored(entity) or entity.get("per_parent") or entity.get("copy") or matched)
 
 
 @dataclass
@@ -173,7 +163,7 @@ class _Entity:
         wanted = plan.size if plan else rows
         given = valid_records(self.authored[self.name], fields, ["_pos"])
         first = dense_index(given.filter(first_k(given, ["_pos"], wanted)), "_pos", INDEX).drop("_pos")
-        content = stage(first, f"{self.name}-content")
+        content = stage(first, f"{self.name}-content", keep=True)
         got = content.count()
         if plan and got:
             return recombine(table, content, got, self.seed, self.name, plan.recombine, plan.fields), rows

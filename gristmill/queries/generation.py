@@ -22,6 +22,7 @@ from gristmill.queries.tables import row_count, table
 from gristmill.sources.writers import bundle, typed_table
 
 SEED = 42
+# Order fields of the marketplace domain, and more fields of every kind.
 STATUS = {"NEW": 1, "PAID": 2, "PROCESSING": 2, "SHIPPED": 2, "DELIVERED": 6, "CANCELLED": 1}
 ORDER_FIELDS = {
     "status": {"type": "enum", "values": list(STATUS), "weights": STATUS},

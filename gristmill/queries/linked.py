@@ -22,6 +22,7 @@ from gristmill.queries.tables import row_count, table
 from gristmill.spec import load_spec, scale_counts
 
 SEED = 42
+# The marketplace domain.
 CATEGORIES = [
     "electronics",
     "fashion",
