@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,6 +20,8 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
+# Frees a query's shuffle files when it ends, instead of whenever the driver collects its garbage.
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def build_session(app_name: str = "gristmill", **settings: str) -> SparkSession:
@@ -32,44 +35,77 @@ def build_session(app_name: str = "gristmill", **settings: str) -> SparkSession:
 
 
 def staging_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names in ``spark.checkpoint.dir``.
+    """The shared folder the cluster names in ``spark.checkpoint.dir``, else the context's checkpoint folder.
 
-    Only a session without that setting (a laptop, a test) gets a folder of its own, which
-    is then written back to the session so that it is chosen once.
+    A local session without either (a laptop, a test) gets a folder of its own, which is written back
+    to the session so that it is chosen once. Elsewhere a folder of one machine would lose data, so
+    the library refuses to run.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="gristmill-")
         spark.conf.set("spark.checkpoint.dir", root)
     return root
 
 
-_open_scratch: list[list[str]] = []
+class Scope:
+    """Owner of staged tables: ``close()`` deletes all it holds. Scopes are independent of each other."""
 
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark = spark
+        self._paths: list[str] = []
 
-def stage(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
-    """Write ``df`` once to the shared folder and return a scan of it.
+    def stage(self, df: DataFrame, name: str) -> DataFrame:
+        """Write ``df`` once to the shared folder and return a scan of it.
 
-    Used where a result feeds several later jobs. Unlike a cached or locally checkpointed
-    frame the written table survives the loss of any executor, and unlike a checkpointed RDD
-    the scan has real statistics, column pruning and filter pushdown. Inside ``scratch`` the
-    table is dropped at the end unless it is to be kept.
-    """
-    spark = df.sparkSession
-    path = f"{staging_root(spark)}/gristmill/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    if _open_scratch and not keep:
-        _open_scratch[-1].append(path)
-    return spark.read.schema(df.schema).parquet(path)
+        Used where a result feeds several later jobs. Unlike a cached or locally checkpointed frame the
+        written table survives the loss of any executor, and unlike a checkpointed RDD the scan has real
+        statistics, column pruning and filter pushdown. Shuffle files of the write are freed at once.
+        """
+        path = f"{staging_root(self.spark)}/gristmill/{name}-{uuid.uuid4().hex}"
+        self._paths.append(path)
+        before = self.spark.conf.get(FREE_SHUFFLES, None)
+        self.spark.conf.set(FREE_SHUFFLES, "true")
+        try:
+            df.write.parquet(path)
+        finally:
+            if before is None:
+                self.spark.conf.unset(FREE_SHUFFLES)
+            else:
+                self.spark.conf.set(FREE_SHUFFLES, before)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def close(self) -> None:
+        while self._paths:
+            target = self.spark._jvm.org.apache.hadoop.fs.Path(self._paths.pop())
+            target.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(target, True)
+
+    def __enter__(self) -> Scope:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        self.close()
+
+
+# The innermost open scope of the running thread or task; other threads do not see it.
+_scope: ContextVar[Scope | None] = ContextVar("scope", default=None)
+
+
+def stage(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
+    """``Scope.stage`` in the open ``scratch``; with ``keep``, or outside one, the table stays."""
+    owner = None if keep else _scope.get()
+    return (owner or Scope(df.sparkSession)).stage(df, name)
 
 
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
     """Drop the tables staged inside once the results that are kept no longer need them."""
-    _open_scratch.append([])
-    try:
-        yield
-    finally:
-        for path in _open_scratch.pop():
-            target = spark._jvm.org.apache.hadoop.fs.Path(path)
-            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    with Scope(spark) as scope:
+        token = _scope.set(scope)
+        try:
+            yield
+        finally:
+            _scope.reset(token)

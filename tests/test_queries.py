@@ -4,7 +4,9 @@ from pathlib import Path
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from gristmill.queries import all_queries as queries
+from gristmill.queries import all_sql as oracle_sql
 from oracle import compare, connect
 
 DATA = "/root/testdata/sf0.001"
