@@ -2,14 +2,55 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
+
 
 def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def fold(folds: int) -> Column:
+    """The fold of a row of documents: the checksum of its id as text, modulo ``folds``."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds
+
+
+def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    from gristmill.llm import langid
+
+    docs = read(spark, folder, "documents").select("doc_id", "text", "lang")
+    model = langid.fit(docs, fold(3) != 1)
+    found = langid.identify(docs.select("doc_id", "text"), model).withColumnRenamed("id", "doc_id")
+    return found.select("doc_id", (fold(3) == 1).alias("held_out"), "lang_pred", "score")
+
+
+def op2_vector_packing(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    from gristmill.llm.packing import pack_texts
+
+    docs = read(spark, folder, "documents").select("doc_id", "text")
+    return pack_texts(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    from gristmill.llm.decontam import contaminated, matches
+
+    docs = read(spark, folder, "documents").select("doc_id", "text")
+    found, _ = matches(docs, read(spark, folder, "benchmark"))
+    names = F.array_sort(F.transform("items", lambda item: item.cast("string")))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", names), 256).alias("items_sha256"),
+        contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"),
+    )
+
+
 def op8_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     from gristmill.llm.substrings import remove_repeats
 
@@ -17,8 +58,20 @@ def op8_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op9_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    from gristmill.llm.nearcopies import near_copies
+
+    found, _ = near_copies(read(spark, folder, "documents").select("doc_id", "text"), shingle=4)
+    return found.withColumnRenamed("id", "doc_id")
+
+
 QUERIES = {
+    "pipeline": corpus_pipeline.run,
+    "op1_language_id": op1_language_id,
+    "op2_vector_packing": op2_vector_packing,
+    "op6_decontamination": op6_decontamination,
     "op8_substring_dedup": op8_substring_dedup,
+    "op9_minhash_dedup": op9_minhash_dedup,
 }
 
 SQL: dict[str, str] = {}
