@@ -41,6 +41,7 @@ WINDOW = 20
 _PROBE_BITS = 40
 _PROBES = "bucket int, probes binary, many binary, keys binary, docs binary, places binary"
 _WINDOWS = "bucket int, keys binary, more binary, docs binary, places binary"
+_PARTS = "part int, docs binary, places binary"
 _PLACES = "id long, places binary"
 
 
@@ -58,12 +59,12 @@ def repeated_windows(
     rows = identified(docs, id_col, text_col)
     buckets = bucket_count(docs)
     probed = rows.mapInArrow(lambda it: _probe(it, block, buckets), _PROBES)
-    hit = probed.groupBy("bucket").applyInArrow(lambda key, table: _hits(key, table, buckets), _PLACES)
-    hits = scope.stage(hit, "block_hits").groupBy("id").agg(F.collect_list("places").alias("hits"))
+    hit = probed.groupBy("bucket").applyInArrow(lambda key, table: _hits(key, table, buckets), _PARTS)
+    hits = scope.stage(hit.groupBy("part").applyInArrow(_by_document, _PLACES), "block_hits").toDF("id", "hits")
     extended = rows.join(hits, "id").mapInArrow(lambda it: _extend(it, window, block, buckets), _WINDOWS)
-    later = extended.groupBy("bucket").applyInArrow(_later, _PLACES)
-    repeats = scope.stage(later, "repeats").groupBy("id").agg(F.collect_list("places").alias("starts"))
-    return repeats, scope
+    later = extended.groupBy("bucket").applyInArrow(lambda key, table: _later(key, table, buckets), _PARTS)
+    repeats = scope.stage(later.groupBy("part").applyInArrow(_by_document, _PLACES), "repeats")
+    return repeats.toDF("id", "starts"), scope
 
 
 def remove_repeats(
@@ -162,8 +163,24 @@ def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, names=[name for name, _ in fields])
 
 
-def _by_document(docs: np.ndarray, places: np.ndarray) -> pa.Table:
-    ids, parts = per_document(docs, places.astype(np.int32))
+def _parted(docs: np.ndarray, places: np.ndarray, parts: int) -> pa.Table:
+    """Places by the remainder of their document, one row each."""
+    part = docs % parts
+    order = np.argsort(part, kind="stable")
+    part, docs, places = part[order], docs[order], places[order].astype(np.int32)
+    first = np.append(np.flatnonzero(np.diff(part, prepend=-1)), len(part))
+    cuts = list(zip(first[:-1].tolist(), first[1:].tolist(), strict=True))
+    return pa.table(
+        {
+            "part": pa.array(part[first[:-1]], pa.int32()),
+            "docs": pa.array([docs[a:z].tobytes() for a, z in cuts], pa.binary()),
+            "places": pa.array([places[a:z].tobytes() for a, z in cuts], pa.binary()),
+        }
+    )
+
+
+def _by_document(table: pa.Table) -> pa.Table:
+    ids, parts = per_document(from_bytes(table["docs"], np.int64), from_bytes(table["places"], np.int32))
     return pa.table({"id": pa.array(ids, pa.int64()), "places": pa.array(parts, pa.binary())})
 
 
@@ -171,12 +188,12 @@ def _hits(key: tuple, table: pa.Table, buckets: int) -> pa.Table:
     """The blocks of one bucket whose words occur at another place as well."""
     docs, places = from_bytes(table["docs"], np.int64), from_bytes(table["places"], np.int32)
     if key[0].as_py() < 0:
-        return _by_document(docs, places)
+        return _parted(docs, places, buckets)
     probes = np.sort(_unpacked(table["probes"]))
     again = probes[1:][probes[1:] == probes[:-1]]
     repeated = np.union1d(again, _unpacked(table["many"]))
     hit = np.isin(_unpacked(table["keys"]), repeated)
-    return _by_document(docs[hit], places[hit])
+    return _parted(docs[hit], places[hit], buckets)
 
 
 def _extend(
@@ -190,7 +207,7 @@ def _extend(
         # hit[i]: word i starts a block that was hit.
         hit = np.zeros(len(slab.hashes) + window, bool)
         for start, length, parts in zip(slab.starts, slab.lens, hits, strict=True):
-            at = np.frombuffer(b"".join(parts), np.int32).astype(np.int64)
+            at = np.frombuffer(parts, np.int32).astype(np.int64)
             hit[start + at[at < length]] = True
         place = slab.place()[:size]
         left = np.repeat(slab.lens, slab.lens)[:size] - place
@@ -222,18 +239,18 @@ def _extend(
         yield _batch(rows, _WINDOWS)
 
 
-def _later(table: pa.Table) -> pa.Table:
+def _later(key: tuple, table: pa.Table, buckets: int) -> pa.Table:
     """The windows of one bucket that are not the earliest with their words."""
     docs, places = from_bytes(table["docs"], np.int64), from_bytes(table["places"], np.int32)
-    if table["bucket"][0].as_py() < 0:
-        return _by_document(docs, places)
+    if key[0].as_py() < 0:
+        return _parted(docs, places, buckets)
     keys, more = from_bytes(table["keys"], np.uint64), from_bytes(table["more"], np.uint16)
     order = np.lexsort((places, docs, more, keys))
     keys, more, docs, places = keys[order], more[order], docs[order], places[order]
     new = np.append(True, (keys[1:] != keys[:-1]) | (more[1:] != more[:-1]))
     first = np.maximum.accumulate(np.where(new, np.arange(len(keys)), 0))
     again = ~((docs == docs[first]) & (places == places[first]))
-    return _by_document(docs[again], places[again])
+    return _parted(docs[again], places[again], buckets)
 
 
 def _removed(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
@@ -245,7 +262,7 @@ def _removed(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Reco
             words = value.split()
             gone = np.zeros(len(words), bool)
             if parts:
-                at = np.frombuffer(b"".join(parts), np.int32)
+                at = np.frombuffer(parts, np.int32)
                 at = at[at + window <= len(words)]
                 depth = np.zeros(len(words) + 1, np.int32)
                 np.add.at(depth, at, 1)
