@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gristmill.llm import decontam, langid, nearcopies, packing, substrings
+from gristmill.llm.shipping import ship
 from gristmill.session import Scope
 
 
@@ -65,6 +66,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; every stage but the last is written and read again."""
+    ship(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     scope = Scope(spark)
     for name, stage in STAGES[:-1]:
