@@ -19,7 +19,6 @@ from gristmill.queries import sql
 from gristmill.queries.tables import DOCUMENT_SPEC, documents, labelled_documents, row_count, table
 from gristmill.sources.readers import seed_examples
 from gristmill.sources.writers import chat_examples
-from gristmill.spec import field_text
 
 FIELDS = DOCUMENT_SPEC["fields"]
 COVERED = ["text", "lang", "source", "n_chars", "quality", "toxic", "absent"]
@@ -162,11 +161,16 @@ def _prompt_sql() -> str:
         f"{{'h': {sql.bits(42, 'hints', str(n), 'b')}, 'hint': {sql.text(hint)}}}"
         for n, hint in enumerate(generation["scenario_hints"])
     )
-    lead = f" web documents records.\n\n{field_text(FIELDS)}\n\n{generation['instructions']}\nLet these situations inspire you, loosely:\n"
+    schema = (
+        '{"type":"object","properties":{"text":{"type":"string","minLength":1,"maxLength":5000,"description":"running text"},'
+        '"lang":{"enum":["en","de","fr"]},"source":{"type":["string","null"]},'
+        '"n_chars":{"type":"integer","minimum":0,"maximum":4000}},"required":["text","lang","n_chars"]}'
+    )
+    lead = f"\n\nRECORD SCHEMA (web_documents)\n{schema}\n\nNOTES\n{generation['instructions']}\n\nSAMPLES\n"
     return f"""
     WITH total AS (SELECT count(*) AS n FROM documents),
     seeds AS (
-      SELECT string_agg('{{"doc_id":' || doc_id || ',"lang":"' || lang || '","source":"' || source || '"}}', ',' ORDER BY doc_id) AS s
+      SELECT string_agg('{{"doc_id":' || doc_id || ',"lang":"' || lang || '","source":"' || source || '"}}', chr(10) ORDER BY doc_id) AS s
       FROM (SELECT * FROM documents ORDER BY doc_id LIMIT 2)),
     batches AS (
       SELECT b, least(5, n - b * 5) AS need
@@ -176,11 +180,10 @@ def _prompt_sql() -> str:
     ranked AS (
       SELECT b, need, d.hint AS hint, row_number() OVER (PARTITION BY b ORDER BY d.h) AS r FROM drawn),
     lists AS (
-      SELECT b, need, string_agg('- ' || hint, chr(10) ORDER BY r) AS hints FROM ranked WHERE r <= need + 1 GROUP BY b, need)
+      SELECT b, need, string_agg('(' || r || ') ' || hint, chr(10) ORDER BY r) AS hints FROM ranked WHERE r <= need + 1 GROUP BY b, need)
     SELECT b AS batch_no, need, 'Return only valid JSON.' AS system,
-      'Generate ' || need || {sql.text(lead)} || hints || chr(10) || chr(10) || 'Records of the wanted kind:' || chr(10)
-      || '[' || s || ']' || chr(10) || chr(10) || 'Answer with one JSON object {{"records": [...]}} that holds exactly '
-      || need || ' records.' AS prompt
+      'OUTPUT' || chr(10) || 'A JSON object whose key records is an array of length ' || need || {sql.text(lead)}
+      || s || chr(10) || chr(10) || 'TOPICS' || chr(10) || hints AS prompt
     FROM lists, seeds"""
 
 
