@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import reduce
 
 import pandas as pd
@@ -22,11 +22,10 @@ from gristmill.operators.judge import (
     score_records,
     verdict,
 )
-from gristmill.operators.neardup import THRESHOLD, near_duplicates, removed_ids
+from gristmill.operators.neardup import THRESHOLD, removed_and_pairs
 from gristmill.operators.validate import field_coverage, invalid_records, valid_records, validation_counts
-from gristmill.session import stage
+from gristmill.session import Scope, owned_by, stage
 
-FLAGGED_SHOWN = 10
 BAR_CELLS = 20
 
 
@@ -39,17 +38,25 @@ class EvaluationOptions:
     seed: int = 42
     stop_words: Sequence[str] | None = None
     strict_dates: bool = False
+    # Counting the similar pairs verifies each pair of near-copies; removal does not need it.
+    count_pairs: bool = True
 
 
 @dataclass(frozen=True)
 class Evaluation:
     """``clean``: records that passed and were kept. ``errors``: rejected ones. ``metrics``: long rows
-    ``(section, metric, item, value, detail)``. ``scores``: judged records, if any."""
+    ``(section, metric, item, value, detail)``. ``scores``: judged records, if any. ``close()`` drops the
+    staged tables that these read, when they are no longer needed."""
 
     clean: DataFrame
     errors: DataFrame
     metrics: DataFrame
     scores: DataFrame | None = field(default=None)
+    scope: Scope | None = field(default=None)
+
+    def close(self) -> None:
+        if self.scope is not None:
+            self.scope.close()
 
 
 def metric(df: DataFrame, section: str, name: str | Column, item: Column | None, value: Column, detail=None):
@@ -92,13 +99,28 @@ def evaluate(
     ``position`` is the integer order column. Judging needs the spec's ``judge`` block and either
     ``score``, called on prompts, or ``responses`` ``(position, raw)`` made elsewhere.
     """
+    scope = Scope(records.sparkSession)
+    with owned_by(scope):
+        found = _evaluated(records, spec, position, options, score, responses)
+    return replace(found, scope=scope)
+
+
+def _evaluated(
+    records: DataFrame,
+    spec: dict,
+    position: str,
+    options: EvaluationOptions,
+    score: Callable[[pd.DataFrame], Sequence[str]] | None,
+    responses: DataFrame | None,
+) -> Evaluation:
     fields, text = spec["fields"], spec["text_field"]
     strict = {"strict_dates": options.strict_dates}
     errors = invalid_records(records, fields, position, **strict)
     valid = stage(valid_records(records, fields, [position], **strict), "valid")
 
-    found = near_duplicates(valid, position, text, options.dedup_threshold, options.stop_words)
-    gone = stage(removed_ids(found), "removed")
+    gone, pairs = removed_and_pairs(
+        valid, position, text, options.dedup_threshold, options.stop_words, options.count_pairs
+    )
     clean = stage(valid.join(gone.select(F.col("id").alias(position)), position, "left_anti"), "clean")
 
     counts = validation_counts(records, fields, **strict)
@@ -120,13 +142,8 @@ def evaluate(
         metric(sizes, "summary", "clean_records", None, F.col("kept")),
         metric(gone.agg(F.count(F.lit(1)).alias("n")), "summary", "duplicates_removed", None, F.col("n")),
         metric(coverage, "validation", "coverage", F.col("field"), F.col("coverage")),
-        metric_rows(
-            found.pair_count(),
-            [
-                ("dedup", "pairs", None, F.col("pairs"), None),
-                ("dedup", "threshold", None, F.lit(options.dedup_threshold), None),
-            ],
-        ),
+        *([metric(pairs, "dedup", "pairs", None, F.col("pairs"))] if pairs is not None else []),
+        metric(sizes, "dedup", "threshold", None, F.lit(options.dedup_threshold)),
         metric(diversity, "diversity", F.col("metric"), F.col("item"), F.col("value")),
     ]
 
@@ -170,10 +187,11 @@ def bar(share: Column, cells: int = BAR_CELLS) -> Column:
     return F.concat(F.repeat(F.lit("█"), filled), F.repeat(F.lit("░"), F.lit(cells) - filled))
 
 
-def quality_report(result: Evaluation, spec: dict, position: str) -> DataFrame:
+def quality_report(result: Evaluation, spec: dict, position: str, flagged: int | None = None) -> DataFrame:
     """Report rows ``(section, metric, item, value, detail)`` for reading.
 
-    Coverage and label rows carry a bar, and the first flagged records are named by their first field.
+    Coverage and label rows carry a bar, and flagged records are named by their first field: all of them,
+    or the first ``flagged``.
     Within a metric the largest values come first, so labels read by descending count.
     """
     labels = result.metrics.filter(F.col("metric").startswith("label:"))
@@ -187,14 +205,18 @@ def quality_report(result: Evaluation, spec: dict, position: str) -> DataFrame:
         ),
     ]
     if result.scores is not None:
-        parts.append(flagged_rows(result.scores, result.clean, spec, position))
+        parts.append(flagged_rows(result.scores, result.clean, spec, position, flagged))
     return union(parts).orderBy("section", "metric", F.desc("value"), "item")
 
 
-def flagged_rows(scores: DataFrame, records: DataFrame, spec: dict, position: str) -> DataFrame:
-    """The first flagged records: name, issue and scores. A report shows ten."""
+def flagged_rows(
+    scores: DataFrame, records: DataFrame, spec: dict, position: str, first: int | None = None
+) -> DataFrame:
+    """Flagged records: name, issue and scores of all, or of the first ones by position."""
     dimensions = spec["judge"]["dimensions"]
-    shown = scores.filter(is_flagged(dimensions)).orderBy(position).limit(FLAGGED_SHOWN)
+    shown = scores.filter(is_flagged(dimensions))
+    if first is not None:
+        shown = shown.orderBy(position).limit(first)
     display = next(iter(spec["fields"]))
     named = shown.join(records.select(position, F.col(f"`{display}`").cast("string").alias("_name")), position)
     marks = F.concat_ws("/", *[F.concat(F.lit(d[:1]), F.col(f"`{d}`").cast("string")) for d in dimensions])

@@ -20,7 +20,7 @@ from gristmill.operators.links import (
     draw_parent,
     fk_violations,
 )
-from gristmill.operators.neardup import near_duplicates
+from gristmill.operators.neardup import near_duplicate_count
 from gristmill.operators.prompts import prompt_batches
 from gristmill.operators.validate import valid_records, validation_counts
 from gristmill.plans.evaluate import EvaluationOptions, metric, metric_rows, union
@@ -255,10 +255,10 @@ def evaluate_entities(
         labels: Sequence[str] = entity.get("label_fields", [])
         text = entity.get("text_field")
         if text:
-            found = near_duplicates(
+            pairs = near_duplicate_count(
                 tables[name], INDEX, text, options.dedup_threshold, options.stop_words
             )
-            parts.append(metric(found.pair_count(), name, "near_duplicate_pairs", None, F.col("pairs")))
+            parts.append(metric(pairs, name, "near_duplicate_pairs", None, F.col("pairs")))
             measured = diversity_report(
                 tables[name], INDEX, text, labels, options.ngram_n, options.stop_words
             )

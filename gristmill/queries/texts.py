@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gristmill.functions.text import default_stop_words
 from gristmill.operators import diversity
-from gristmill.operators.neardup import copy_groups, dedupe, near_duplicates
+from gristmill.operators.neardup import copy_groups, dedupe, near_duplicate_count, near_duplicates
 from gristmill.operators.tfidf import tfidf
 from gristmill.plans.evaluate import evaluate, quality_report
 from gristmill.queries import sql
@@ -37,7 +37,7 @@ def near_dup_copies(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def near_dup_flag_count(spark: SparkSession, folder: str) -> DataFrame:
-    return near_duplicates(documents(spark, folder), "doc_id", "text").pair_count()
+    return near_duplicate_count(documents(spark, folder), "doc_id", "text")
 
 
 def dedupe_kept(spark: SparkSession, folder: str) -> DataFrame:

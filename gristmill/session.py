@@ -90,22 +90,33 @@ class Scope:
         self.close()
 
 
-# The innermost open scope of the running thread or task; other threads do not see it.
-_scope: ContextVar[Scope | None] = ContextVar("scope", default=None)
+# The innermost open scope of the running thread or task, and the one around it; other threads do not
+# see them.
+_scopes: ContextVar[tuple[Scope, ...]] = ContextVar("scopes", default=())
 
 
 def stage(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
-    """``Scope.stage`` in the open ``scratch``; with ``keep``, or outside one, the table stays."""
-    owner = None if keep else _scope.get()
-    return (owner or Scope(df.sparkSession)).stage(df, name)
+    """``Scope.stage`` in the open ``scratch``.
+
+    With ``keep`` the table belongs to the scope around it. Without any scope nobody owns it, and it
+    stays until the folder is emptied.
+    """
+    scopes = _scopes.get()[: -1 if keep else None]
+    return (scopes[-1] if scopes else Scope(df.sparkSession)).stage(df, name)
+
+
+@contextmanager
+def owned_by(scope: Scope) -> Iterator[None]:
+    """Tables staged inside belong to ``scope``, which stays open."""
+    token = _scopes.set((*_scopes.get(), scope))
+    try:
+        yield
+    finally:
+        _scopes.reset(token)
 
 
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
     """Drop the tables staged inside once the results that are kept no longer need them."""
-    with Scope(spark) as scope:
-        token = _scope.set(scope)
-        try:
-            yield
-        finally:
-            _scope.reset(token)
+    with Scope(spark) as scope, owned_by(scope):
+        yield
