@@ -102,13 +102,25 @@ def overlay_scenarios(
             else:
                 new = F.lit(value)
             if field in types:
-                changes[field] = F.when(chosen, new.cast(types[field])).otherwise(F.col(f"`{field}`"))
+                # A literal of another type is kept, so that validation can report it: the column is text then.
+                kind = types[field] if isinstance(value, dict) or _fits(value, types[field]) else "string"
+                changes[field] = F.when(chosen, new.cast(kind)).otherwise(F.col(f"`{field}`").cast(kind))
             else:
                 changes[field] = F.when(chosen, new)
         table = table.withColumn("_h", bits).withColumns(changes).drop("_h")
     return table
 
 
+def _fits(value: object, kind: str) -> bool:
+    """Whether a literal of a scenario can be read as a value of a column's type."""
+    if value is None or kind not in ("bigint", "int"):
+        return True
+    try:
+        return int(str(value) if not isinstance(value, bool) else value) is not None
+    except ValueError:
+        return False
+
+
 def record_id(prefix: str, row: Column) -> Column:
     """``PREFIX-0001`` for row 0; grows past four digits."""
     return F.format_string(f"{prefix}-%04d", row + 1)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gristmill.functions.draws import draw_below, draw_between
-from gristmill.operators.indexing import bucket_width, rank_in_group, running_offsets
+from gristmill.operators.indexing import BUCKET_ROWS, rank_in_group, running_offsets
 
 # Rows of one group that are ranked in one task.
 PIECE = 100_000
@@ -29,7 +29,7 @@ def children_of(
         made = made.withColumn("_start", F.col("_p") * low)
     else:
         drawn = draw_between(seed, entity, "children", parent, low, high)
-        bucket = F.floor(parent / F.lit(bucket_width(rows))).cast("bigint")
+        bucket = F.floor(parent / F.lit(BUCKET_ROWS)).cast("bigint")
         made = parents.select(*kept, parent.alias("_p"), drawn.alias("_k"), bucket.alias("_b"))
         totals = made.groupBy("_b").agg(F.sum("_k").alias("_sum"))
         offsets = running_offsets(totals, "_b", "_sum", "_offset")

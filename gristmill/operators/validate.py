@@ -21,9 +21,10 @@ from gristmill.spec import enum_values
 
 # Keys under which a response may wrap its records, in order of preference.
 WRAPPER_KEYS = ("records", "tickets", "data", "items")
-# Fixed pattern: text that reads as a whole number, blanks around it and zero decimals included.
-WHOLE_NUMBER = r"^\s*[+-]?[0-9]+(\.0*)?\s*$"
-WHOLE_PART = r"([+-]?[0-9]+)"
+# Fixed pattern: text that reads as a whole number. Blanks of any kind may stand around it, single
+# underscores between its digits, and zeros behind a decimal point.
+WHOLE_NUMBER = r"^[\s\p{Z}]*[+-]?[0-9]+((_[0-9]+)*|\.0+)[\s\p{Z}]*$"
+WHOLE_PART = r"([+-]?[0-9_]+)"
 
 log = logging.getLogger(__name__)
 
@@ -91,7 +92,7 @@ def _typed_reader(column: Column, data_type: T.DataType) -> _Reader:
 
 
 def _whole_from_text(text: Column) -> Column:
-    digits = F.regexp_extract(text, WHOLE_PART, 1)
+    digits = F.replace(F.regexp_extract(text, WHOLE_PART, 1), F.lit("_"), F.lit(""))
     return F.when(text.rlike(WHOLE_NUMBER), digits.try_cast("bigint"))
 
 
@@ -176,7 +177,7 @@ def valid_records(source: DataFrame, fields: dict, keep: list[str], **options) -
 def invalid_records(source: DataFrame, fields: dict, position: str, **options) -> DataFrame:
     """``(position, record_json, errors)`` of the rows that fail."""
     checks = compile_fields(fields, source, **options)
-    record = F.to_json(F.struct(*[F.col(f"`{c}`") for c in source.columns]))
+    record = F.to_json(F.struct(*[F.col(f"`{c}`") for c in source.columns]), {"ignoreNullFields": "false"})
     return source.filter(~F.coalesce(_all_fine(checks), F.lit(False))).select(
         F.col(f"`{position}`"), record.alias("record_json"), error_list(checks).alias("errors")
     )

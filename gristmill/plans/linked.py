@@ -38,7 +38,6 @@ from gristmill.spec import (
 
 log = logging.getLogger(__name__)
 
-VIOLATIONS_SHOWN = 20
 
 
 @dataclass(frozen=True)
@@ -283,8 +282,12 @@ def linked_report(
     tables: dict[str, DataFrame],
     spec: dict,
     quality: DataFrame | None = None,
+    first_violations: int | None = None,
 ) -> DataFrame:
-    """Report rows ``(section, metric, item, value, detail)`` of a generation run."""
+    """Report rows ``(section, metric, item, value, detail)`` of a generation run.
+
+    All integrity violations are listed, or the ``first_violations`` by entity, key and row.
+    """
     checked = validate_entities(tables, spec)
     violations = all_violations(tables, spec)
     entity, valid, errors = F.col("entity"), F.col("valid"), F.col("errors")
@@ -307,7 +310,9 @@ def linked_report(
         )
         where = F.concat_ws(".", "entity", "fk")
         about = F.concat(F.coalesce("value", F.lit("null")), F.lit(" -> "), "ref")
-        shown = violations.orderBy("entity", "fk", "row").limit(VIOLATIONS_SHOWN)
+        shown = violations
+        if first_violations is not None:
+            shown = violations.orderBy("entity", "fk", "row").limit(first_violations)
         parts.append(metric(shown, "integrity", "violation", where, F.col("row"), about))
     if quality is not None:
         parts.append(quality)

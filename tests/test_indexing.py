@@ -36,6 +36,13 @@ def test_rank_in_group_with_a_hot_group(spark):
     assert len(got) == 2000
 
 
+def test_offsets_over_several_runs(spark, monkeypatch):
+    monkeypatch.setattr(indexing, "BUCKETS", 4)
+    totals = spark.createDataFrame([(b, b * b + 1) for b in range(0, 60, 2)], "b bigint, n bigint").repartition(3)
+    got = {r["b"]: r["offset"] for r in indexing.running_offsets(totals, "b", "n", "offset").collect()}
+    assert got == {b: sum(c * c + 1 for c in range(0, b, 2)) for b in range(0, 60, 2)}
+
+
 def test_children_are_dense(spark):
     parents = spark.range(10_000).toDF("_idx")
     for low, high in ((0, 3), (2, 2), (0, 0)):

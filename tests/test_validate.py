@@ -128,3 +128,15 @@ def test_harvest_on_a_stream(spark, tmp_path):
         )
         query.awaitTermination()
     assert spark.read.parquet(f"{tmp_path}/out").count() == 6
+
+
+def test_whole_number_text(spark):
+    texts = {"4": 4, " 4 ": 4, "4.0": 4, "4.00": 4, "+7": 7, "-3": -3, "1_000": 1000, " 5 ": 5}
+    refused = ["4.", "4.5", "_1", "1_", "1__0", "x", "", "0x1"]
+    df = spark.createDataFrame([(t,) for t in [*texts, *refused]], "n string")
+    fields = {"n": {"type": "int"}}
+    kept = valid_records(df, fields, []).collect()
+    assert sorted(r["n"] for r in kept) == sorted(texts.values())
+    rejected = invalid_records(df.withColumn("empty", F.lit(None).cast("string")), fields, "n").collect()
+    assert sorted(r["n"] for r in rejected) == sorted(refused)
+    assert all('"empty":null' in r["record_json"] for r in rejected)
