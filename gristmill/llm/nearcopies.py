@@ -8,12 +8,17 @@
    and are left out, and a class with fewer than ``matches`` shared values is done.
 3. Skipping: of its ``s`` shared values a class only needs the ``s - matches + 1`` rarest (the prefix);
    two classes with ``matches`` common values share one of those, so the longest lists are never merged.
-4. Lists are merged around leaders instead of into pairs. In each list the member with most shared
-   values of each component known so far meets the members of the other components. Pairs with enough
-   equal coordinates are confirmed on the full sets and become links, components grow, and a list whose
-   members are all in one component is finished; a leader has met everything it could and leaves the list.
-   A family of near copies falls in with its first leader, in time linear in its size. Rounds go on
-   until no list is open: nothing is capped, and no pair across components is left unseen.
+4. Lists are merged around leaders instead of into pairs. A leader is the member of a component with most
+   shared values; it meets the members of all other components in its list. Pairs with enough equal
+   coordinates are confirmed on the full sets and become links, components grow, and a list whose members
+   are all in one component is finished; a leader has met everything it could and leaves the list.
+   In the first round each list has one leader, so a family of near copies falls in with it, in time
+   linear in its size.
+5. What is still open goes on with the shingles themselves as values: the same prefix rule, now exact.
+   Only shingles that occur in several open components count; a class with too few of them for the
+   smallest member of its lists can have no partner and leaves, the others are posted under their rarest.
+   These lists are merged around leaders too, ``GROWTH`` times as many in each round, until none is open:
+   nothing is capped, and no pair across components is left unseen.
 """
 
 from __future__ import annotations
@@ -25,6 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from gristmill.llm.components import components
 from gristmill.llm.slabs import identified, mix, rolling, slabs
@@ -35,6 +41,8 @@ PERCENT = 80
 K = 64
 # The chance that a pair exactly at the threshold agrees in fewer coordinates than are asked for.
 LOSS = 1e-6
+# How many times as many leaders a list may have in each further round.
+GROWTH = 16
 _SIGNED = "id long, n long, f1 long, f2 long, signature array<int>"
 
 
@@ -103,30 +111,24 @@ def _merge(
 ) -> DataFrame:
     """``(rep, component)`` of every class in a list, by rounds around leaders until no list is open."""
     labels = lists.select("rep", F.col("rep").alias("component")).distinct()
-    posted = lists.withColumn("component", F.col("rep"))
-    signatures = sets = None
+    posted = _open(lists.withColumn("component", F.col("rep")), scope)
+    if posted.isEmpty():
+        return labels
+    active = posted.select("rep").distinct()
+    # Seven bits of each coordinate: pairs agree by chance in half a coordinate more, none is lost.
+    short = F.transform("signature", lambda x: x.bitwiseAND(127).cast("tinyint")).alias("signature")
+    signatures = scope.stage(classes.join(active, "rep", "left_semi").select("rep", short), "active")
+    sets = scope.stage(_sets_of(rows, classes, signatures.select("rep"), shingle), "sets")
+    limit, tested = 1, None
     while True:
-        spread = posted.groupBy("token").agg(F.min("component").alias("a"), F.max("component").alias("b"))
-        open_lists = spread.filter("a < b").select("token")
-        posted = scope.stage(posted.join(open_lists, "token"), "open")
-        if posted.isEmpty():
-            return labels
-        if sets is None:
-            active = posted.select("rep").distinct()
-            signatures = scope.stage(classes.join(active, "rep", "left_semi").select("rep", "signature"), "active")
-            texts = rows.join(signatures.select(F.col("rep").alias("id")), "id", "left_semi")
-            sets = texts.mapInArrow(lambda it: _sets(it, shingle), "rep long, f1 long, f2 long, shingles array<long>")
-            # Rows that share an id may have other sets: only the class's own counts.
-            own = classes.select("rep", "f1", "f2").join(active, "rep", "left_semi")
-            sets = sets.join(own, ["rep", "f1", "f2"], "left_semi").dropDuplicates(["rep"]).select("rep", "shingles")
-            sets = scope.stage(sets, "sets")
-        first = F.max_by("rep", F.struct("shared", -F.col("rep")))
-        leaders = posted.groupBy("token", "component").agg(first.alias("rep")).join(
-            posted.select("token", "rep", "n"), ["token", "rep"]
-        )
-        leaders = scope.stage(leaders, "leaders")
+        leaders = scope.stage(_leaders(posted, limit), "leaders")
         pairs = _across(leaders, posted, percent)
-        pairs = _matching(pairs, signatures, matches)
+        if limit == 1:
+            pairs = _matching(pairs, signatures, matches)
+        if tested is not None:
+            pairs = pairs.join(tested, ["i", "j"], "left_anti")
+        pairs = scope.stage(pairs, "pairs")
+        tested = pairs if tested is None else tested.unionAll(pairs)
         links = scope.stage(_confirmed(pairs, sets, percent), "confirmed")
         posted = posted.join(leaders.select("token", "rep"), ["token", "rep"], "left_anti")
         if not links.isEmpty():
@@ -135,6 +137,62 @@ def _merge(
             merged = scope.stage(merged.toDF("component", "to"), "merged")
             labels = scope.stage(_relabelled(labels, merged).select("rep", "component"), "labels")
             posted = _relabelled(posted, merged).select("token", "rep", "n", "shared", "component")
+        posted = _open(posted, scope)
+        if limit == 1:
+            posted = _open(_exact_lists(posted, sets, percent), scope)
+        if posted.isEmpty():
+            return labels
+        limit *= GROWTH
+
+
+def _open(posted: DataFrame, scope: Scope) -> DataFrame:
+    """The lists with members of more than one component."""
+    spread = posted.groupBy("token").agg(F.min("component").alias("a"), F.max("component").alias("b"))
+    return scope.stage(posted.join(spread.filter("a < b").select("token"), "token"), "open")
+
+
+def _sets_of(rows: DataFrame, classes: DataFrame, active: DataFrame, shingle: int) -> DataFrame:
+    """``(rep, shingles)`` of the active classes."""
+    texts = rows.join(active.select(F.col("rep").alias("id")), "id", "left_semi")
+    sets = texts.mapInArrow(lambda it: _sets(it, shingle), "rep long, f1 long, f2 long, shingles array<long>")
+    # Rows that share an id may have other sets: only the class's own counts.
+    own = classes.select("rep", "f1", "f2").join(active, "rep", "left_semi")
+    return sets.join(own, ["rep", "f1", "f2"], "left_semi").dropDuplicates(["rep"]).select("rep", "shingles")
+
+
+def _exact_lists(posted: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Open classes under the rarest of the shingles that they share with other components.
+
+    A partner of a class with ``n`` shingles has at least ``m``, the size of the smallest member of its
+    lists or the threshold's share of ``n``, so at least ``percent / (100 + percent) * (n + m)`` are common.
+    """
+    smallest = posted.groupBy("token").agg(F.min("n").alias("least"))
+    placed = posted.join(smallest, "token").groupBy("rep", "n", "component").agg(F.min("least").alias("least"))
+    own = sets.join(placed, "rep").select("rep", "n", "component", "least", F.explode("shingles").alias("token"))
+    where = own.groupBy("token").agg(
+        F.min("component").alias("a"), F.max("component").alias("b"), F.count(F.lit(1)).alias("length")
+    )
+    shared = own.join(where.filter("a < b").select("token", "length"), "token")
+    values = shared.groupBy("rep", "n", "component", "least").agg(F.collect_list(F.struct("length", "token")).alias("of"))
+    least = F.greatest(F.col("least"), F.ceil(F.col("n") * percent / 100))
+    common = F.ceil((F.col("n") + least) * percent / (100 + percent) - 1e-9).cast("int")
+    values = values.withColumn("shared", F.size("of")).withColumn("common", common).filter("shared >= common")
+    prefix = F.slice(F.sort_array("of"), F.lit(1), F.col("shared") - F.col("common") + 1)
+    exploded = values.select("rep", "n", "shared", "component", F.explode(prefix).alias("at"))
+    return exploded.select("at.token", "rep", "n", "shared", "component")
+
+
+def _leaders(posted: DataFrame, limit: int) -> DataFrame:
+    """Of each list the best members of up to ``limit`` components."""
+    best = F.struct("shared", -F.col("rep"))
+    if limit == 1:
+        named = posted.groupBy("token").agg(F.max_by("rep", best).alias("rep"))
+    else:
+        of = posted.groupBy("token", "component").agg(F.max_by("rep", best).alias("rep"), F.max("shared").alias("shared"))
+        # Spark keeps the first rows of each task before it brings a list together.
+        order = Window.partitionBy("token").orderBy(F.desc("shared"), "rep")
+        named = of.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= limit).select("token", "rep")
+    return named.join(posted.select("token", "rep", "n", "component"), ["token", "rep"])
 
 
 def _relabelled(table: DataFrame, merged: DataFrame) -> DataFrame:
