@@ -17,21 +17,25 @@ import os
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gristmill.llm.slabs import ragged, texts
+from gristmill.llm.slabs import ragged
 
 TOKENS = 2048
 SEGMENTS = 256
 # Tokens of the rests that are packed together.
 POOL_TOKENS = 1_000_000
 # Words whose token ids a worker remembers; started anew beyond that.
-REMEMBERED_WORDS = 300_000
+REMEMBERED_WORDS = 500_000
+# Bytes of text that are split at once.
+PIECE_BYTES = 4_000_000
 _PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
     "loss_tokens long"
@@ -111,39 +115,98 @@ def powers_of_two(n: int) -> list[int]:
 class WordTokens:
     """Token ids of words, remembered; a text's ids are those of its blank-separated words.
 
-    Exact for this tokenizer, whose normalizer and splitting never look across a blank.
+    Exact for this tokenizer, whose normalizer and splitting never look across a blank. It also splits
+    between letters and punctuation and lowers letters one by one, so a word of plain letters with
+    punctuation behind it has the ids of both, and plain letters can go to the merges directly.
     """
 
+    PUNCTUATION = b".,!?;:%&*#$|"
+
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.merges = self.tokenizer.model
+        self.parts: dict[bytes, list[int]] = {}
+        # The merges work on one printable character a byte; the pre-tokenizer knows which.
+        from tokenizers.pre_tokenizers import ByteLevel
+
+        level = ByteLevel(add_prefix_space=False, use_regex=False)
+        plain = [chr(k) for k in (*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0xC0, 0x250))]
+        plain = [c for c in plain if c.isalpha() and len(c.lower()) == 1]
+        self.written = {ord(c): level.pre_tokenize_str(c.lower())[0][0] for c in plain}
+        self.plain = frozenset(plain)
         self.clear()
 
     def clear(self) -> None:
         self.index: dict[bytes, int] = {}
-        self.ids = np.empty(0, np.uint32)
-        self.starts = np.empty(0, np.int64)
-        self.lens = np.empty(0, np.int64)
-
-    def of(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all words, and how many ids each word has."""
-        new = list(set(words).difference(self.index))
-        if len(self.index) + len(new) > REMEMBERED_WORDS and self.index:
-            self.clear()
-            new = list(set(words))
-        if new:
-            found = self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-            ids = [e.ids for e in found]
-            lens = np.array(list(map(len, ids)), np.int64)
-            self.starts = np.append(self.starts, len(self.ids) + np.cumsum(lens) - lens)
-            self.lens = np.append(self.lens, lens)
-            self.ids = np.append(self.ids, np.array([i for own in ids for i in own], np.uint32))
+        self.ids = np.empty(1 << 16, np.uint32)
+        self.starts = np.zeros(1 << 14, np.int64)
+
+    def _part(self, part: bytes) -> list[int]:
+        """The ids of a word or of one side of it."""
+        found = self.parts.get(part)
+        if found is None:
+            text = part.decode()
+            if self.plain.issuperset(text):
+                found = [t.id for t in self.merges.tokenize(text.translate(self.written))]
+            else:
+                found = self.tokenizer.encode(text, add_special_tokens=False).ids
+            self.parts[part] = found
+        return found
+
+    def _all_ids(self, words: list[bytes]) -> list[list[int]]:
+        if len(self.parts) >= REMEMBERED_WORDS:
+            self.parts.clear()
+        found = []
+        get, merges, punctuation = self.parts.get, self.merges.tokenize, self.PUNCTUATION
+        for word in words:
+            front = word.rstrip(punctuation)
+            tail = word[len(front) :]
+            if front.isalpha():  # plain ASCII letters, the usual case
+                front = front.lower()
+                ids = get(front)
+                if ids is None:
+                    ids = self.parts[front] = [t.id for t in merges(front.decode())]
+                found.append(ids + self._part(tail) if tail else ids)
+            elif tail and front and front.decode()[-1] in self.plain:
+                found.append(self._part(front) + self._part(tail))
+            else:
+                found.append(self._part(word))
+        return found
+
+    def of(self, words: list[bytes], at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the words ``words[k] for k in at``, and how many ids each has."""
+        get = self.index.get
+        known = np.array([get(word, -1) for word in words], np.int64)
+        missing = np.flatnonzero(known < 0)
+        if len(missing):
+            if len(self.index) + len(missing) > REMEMBERED_WORDS and self.index:
+                self.clear()
+                missing = np.arange(len(words))
+            new = [words[k] for k in missing.tolist()]
+            found = self._all_ids(new)
             size = len(self.index)
+            self.starts = _grown(self.starts, size + len(new) + 1)
+            ends = self.starts[size] + np.cumsum(np.fromiter(map(len, found), np.int64, len(found)))
+            self.ids = _grown(self.ids, int(ends[-1]))
+            self.ids[self.starts[size] : ends[-1]] = np.fromiter(chain.from_iterable(found), np.uint32)
+            self.starts[size + 1 : size + 1 + len(new)] = ends
+            known[missing] = np.arange(size, size + len(new))
             self.index.update(zip(new, range(size, size + len(new)), strict=True))
-        at = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
-        return self.ids[ragged(self.starts[at], self.lens[at])], self.lens[at]
+        at = known[at]
+        lens = self.starts[at + 1] - self.starts[at]
+        return self.ids[ragged(self.starts[at], lens)], lens
+
+
+def _grown(array: np.ndarray, size: int) -> np.ndarray:
+    """An array that holds at least ``size`` values, doubled if it must grow."""
+    if size <= len(array):
+        return array
+    found = np.zeros(max(size, 2 * len(array)), array.dtype)
+    found[: len(array)] = array
+    return found
 
 
 _WORDS: dict[str, WordTokens] = {}
@@ -156,15 +219,27 @@ def _word_tokens(path: str) -> WordTokens:
     return _WORDS[path]
 
 
-def tokenized(values: list[bytes], tokenizer: WordTokens, end_id: int) -> Iterator[np.ndarray]:
-    """Each text's ids with ``end_id`` behind them."""
-    split = [value.split() for value in values]
-    ids, lens = tokenizer.of([w for words in split for w in words])
-    ends = np.cumsum(lens)
-    last = np.cumsum([len(words) for words in split])
+def pieces(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """Runs of whole rows with about ``size`` bytes of text in the second column."""
+    for batch in batches:
+        if batch.num_rows:
+            lens = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy().astype(np.int64)
+            group = np.cumsum(lens) // size
+            first = np.append(np.flatnonzero(np.diff(group, prepend=-1)), batch.num_rows)
+            for a, z in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
+                yield batch.slice(a, z - a)
+
+
+def tokenized(column: pa.Array, tokenizer: WordTokens, end_id: int) -> Iterator[np.ndarray]:
+    """Each text's ids with ``end_id`` behind them; a null text is empty."""
+    split = pc.ascii_split_whitespace(pc.fill_null(column, ""))
+    coded = split.flatten().dictionary_encode()
+    # Some words are empty, at either end of a text; they have no ids.
+    words = coded.dictionary.cast(pa.binary()).to_pylist()
+    ids, lens = tokenizer.of(words, coded.indices.to_numpy().astype(np.int64))
+    ends = np.append(0, np.cumsum(lens))[np.cumsum(split.value_lengths().to_numpy())]
     begin = 0
-    for words_end in last.tolist():
-        end = int(ends[words_end - 1]) if words_end else 0
+    for end in ends.tolist():
         yield np.append(ids[begin:end], np.uint32(end_id))
         begin = end
 
@@ -264,8 +339,8 @@ def _pack_texts(
 ) -> Iterator[pa.RecordBatch]:
     tokenizer = _word_tokens(path)
     packer = _Packer(limits, _first_sequence())
-    for piece, values in texts(batches):
-        for id_, ids in zip(piece.column(0).to_pylist(), tokenized(values, tokenizer, end_id), strict=True):
+    for piece in pieces(batches, PIECE_BYTES):
+        for id_, ids in zip(piece.column(0).to_pylist(), tokenized(piece.column(1), tokenizer, end_id), strict=True):
             packer.add(id_, ids)
         yield packer.flushed()
     packer.pack(last=True)

@@ -1,24 +1,35 @@
 from __future__ import annotations
 
+import functools
 import random
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from gristmill.llm.packing import Limits, WordTokens, fill_bin, pack_examples, pack_texts, powers_of_two
+from gristmill.llm.packing import Limits, WordTokens, fill_bin, pack_examples, pack_texts, powers_of_two, tokenized
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 SCHEMA = "doc_id long, text string"
 
 
-def plain_ids(text):
+@functools.cache
+def plain():
     from tokenizers import Tokenizer
 
-    return Tokenizer.from_file(PATH).encode(text or "", add_special_tokens=False).ids + [1]
+    return Tokenizer.from_file(PATH)
+
+
+def plain_ids(text):
+    return plain().encode(text or "", add_special_tokens=False).ids + [1]
+
+
+def own(words, text):
+    return next(tokenized(pa.array([text], pa.string()), words, 1)).tolist()
 
 
 @pytest.fixture(scope="module")
@@ -29,8 +40,20 @@ def words():
 @given(st.text(alphabet=st.sampled_from("aBé ß\n\t ́.'s0<|endoftext|>漢 \x1c\x0bİΣ"), max_size=60))
 @settings(max_examples=300, deadline=None)
 def test_word_ids_are_the_text_ids(words, text):
-    ids, _ = words.of(text.encode().split())
-    assert ids.tolist() + [1] == plain_ids(text)
+    assert own(words, text) == plain_ids(text)
+
+
+@given(st.text(alphabet=st.characters(codec="utf-8"), max_size=40))
+@settings(max_examples=400, deadline=None)
+def test_word_ids_of_any_characters(words, text):
+    assert own(words, text) == plain_ids(text)
+
+
+def test_word_ids_of_given_texts(words):
+    import pyarrow.parquet as pq
+
+    for text in pq.read_table("/root/testdata/sf0.001/documents.parquet")["text"].to_pylist():
+        assert own(words, text) == plain_ids(text)
 
 
 def check(rows, pieces, limit=2048, segments=256):
