@@ -133,7 +133,7 @@ def _descend(gradient, shape: tuple[int, ...], step: float, rounds: int) -> np.n
 def fit_softmax(rows: np.ndarray, labels: np.ndarray, classes: int, decay: float = 1e-5) -> np.ndarray:
     x, y = _with_bias(rows), np.eye(classes, dtype=np.float32)[labels]
     weight = (1 / np.bincount(labels, minlength=classes).clip(1))[labels][:, None].astype(np.float32) / classes
-    return _descend(lambda w: x.T @ ((_softmax(x @ w) - y) * weight) + decay * w, (x.shape[1], classes), 1.0, 400)
+    return _descend(lambda w: x.T @ ((_softmax(x @ w) - y) * weight) + decay * w, (x.shape[1], classes), 1.0, 250)
 
 
 def fit_machine(rows: np.ndarray, sign: np.ndarray, decay: float = 1e-4) -> tuple[np.ndarray, float, float]:
@@ -142,14 +142,14 @@ def fit_machine(rows: np.ndarray, sign: np.ndarray, decay: float = 1e-4) -> tupl
     if len(set(sign[held])) < 2 or len(set(sign[~held])) < 2:
         held[:] = False
     x, y = _with_bias(rows), sign.astype(np.float32)
-    own = ~held
-    weight = np.where(y[own] > 0, 0.5 / max(1, (y[own] > 0).sum()), 0.5 / max(1, (y[own] < 0).sum())).astype(np.float32)
+    fitted, truth = x[~held], y[~held]
+    weight = np.where(truth > 0, 0.5 / max(1, (truth > 0).sum()), 0.5 / max(1, (truth < 0).sum())).astype(np.float32)
 
     def gradient(w: np.ndarray) -> np.ndarray:
-        slack = np.maximum(0, 1 - y[own] * (x[own] @ w))
-        return -2 * (x[own].T @ (weight * y[own] * slack)) + decay * w
+        slack = np.maximum(0, 1 - truth * (fitted @ w))
+        return -2 * (fitted.T @ (weight * truth * slack)) + decay * w
 
-    weights = _descend(gradient, (x.shape[1],), 0.2, 400)
+    weights = _descend(gradient, (x.shape[1],), 0.2, 250)
     margin = (x[held] if held.any() else x) @ weights
     target = ((y[held] if held.any() else y) > 0).astype(np.float64)
     slope, shift = 2.0, 0.0
