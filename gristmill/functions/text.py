@@ -58,15 +58,17 @@ def _found(text: Column, pattern: str) -> Column:
     return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(pattern), F.lit(0))
 
 
-def term_signature(text: Column, stop_words: Sequence[str]) -> Column:
-    """Hash of the terms with their counts, in any order.
-
-    Terms hold no spaces, so the joined sorted terms identify the bag.
-    """
+def bag_of(text: Column, stop_words: Sequence[str]) -> Column:
+    """The sorted terms of a text, repeated ones included, without stop words."""
     bag = terms(text)
     if stop_words:
         bag = F.filter(bag, lambda w: ~w.isin(list(stop_words)))
-    return F.md5(F.concat_ws(" ", F.sort_array(bag)))
+    return F.sort_array(bag)
+
+
+def bag_signature(bag: Column) -> Column:
+    """Hash of a bag. Terms hold no spaces, so the joined sorted terms identify it."""
+    return F.md5(F.concat_ws(" ", bag))
 
 
 def ngrams(words: Column, n: int) -> Column:
