@@ -221,6 +221,39 @@ def validate_entities(tables: dict[str, DataFrame], spec: dict) -> DataFrame:
     )
 
 
+def linked_fallbacks(tables: dict[str, DataFrame], spec: dict) -> DataFrame | None:
+    """``(entity, fk, fallbacks)``: rows whose matched key had no parent with the same value to draw from.
+
+    A row counts if the row behind it is known and no parent shares its value (null matches null). Rows are
+    counted by the key they go through before anything is joined. None if no relationship is matched.
+    """
+    parts = []
+    for name, entity in spec["entities"].items():
+        links = entity.get("relationships", {})
+        for fk, link in links.items():
+            match = link.get("match")
+            behind = links.get((match or {}).get("via"), {}).get("ref")
+            if not match or behind not in tables or link["ref"] not in tables:
+                continue
+            shared = match["field"]
+            if shared not in tables[behind].columns:
+                continue
+            per_key = tables[name].groupBy(F.col(f"`{match['via']}`").alias("_via")).agg(F.count(F.lit(1)).alias("_rows"))
+            known = tables[behind].select(
+                F.col(id_field(spec["entities"][behind])).alias("_via"), F.col(f"`{shared}`").alias("_want")
+            )
+            wanted = per_key.join(known, "_via")
+            parents = tables[link["ref"]]
+            if shared in parents.columns:
+                offered = parents.select(F.col(f"`{shared}`").alias("_value")).distinct()
+                wanted = wanted.join(offered, F.col("_want").eqNullSafe(F.col("_value")), "left_anti")
+            else:
+                wanted = wanted.filter(F.col("_want").isNotNull())
+            lost = wanted.agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("fallbacks"))
+            parts.append(lost.select(F.lit(name).alias("entity"), F.lit(fk).alias("fk"), "fallbacks"))
+    return union(parts) if parts else None
+
+
 def all_violations(tables: dict[str, DataFrame], spec: dict) -> DataFrame | None:
     """``(entity, row, fk, value, ref)`` over all relationships; None if the spec has none."""
     found = [
