@@ -160,7 +160,7 @@ def marketplace_join(spark: SparkSession, folder: str) -> DataFrame:
 def stricter(spec: dict) -> dict:
     spec = copy.deepcopy(spec)
     spec["entities"]["sellers"]["fields"]["rating"]["le"] = 4
-    spec["entities"]["offers"]["fields"]["price"]["le"] = 1000
+    spec["entities"]["offers"]["fields"]["price"]["le"] = 950
     spec["entities"]["orders"]["fields"]["status"]["values"] = [s for s in STATUS if s != "CANCELLED"]
     return spec
 
@@ -298,7 +298,7 @@ _QUALITY = " UNION ALL ".join(
         _long("orders", " UNION ALL ".join(sql.label_parts("orders_made", ["status", "delivery_method"]))),
     ]
 )
-_BROKEN = {"sellers": "rating > 4", "offers": "price > 1000", "orders": "status = 'CANCELLED'", "order_items": "unit_price > 1000"}
+_BROKEN = {"sellers": "rating > 4", "offers": "price > 950", "orders": "status = 'CANCELLED'", "order_items": "unit_price > 950"}
 _RATED = "(SELECT * FROM sellers WHERE rating >= 3)"
 _ORPHANS = " UNION ALL ".join(
     f"SELECT '{entity}' AS entity, x AS row, 'seller_id' AS fk, seller_id AS value, 'sellers' AS ref "
