@@ -1,10 +1,14 @@
 """Approximate nearest neighbours by a forest of random-projection trees.
 
-The trees are grown on a bounded sample (``SAMPLE`` rows in expectation): a node splits its points by the
-difference of two of them, at the median. Every row of the table is then dropped into one leaf per tree.
-A query walks all trees with one shared priority queue: always the branch whose border is nearest, in
-whatever tree, until the leaves it reached hold ``search`` rows, and at least as many as are asked for.
-The rows of those leaves are ranked by their exact distance.
+The trees are grown on a bounded sample (``SAMPLE`` rows in expectation): a node projects its points on
+the differences of a few random pairs of them and splits them at the median of the widest projection.
+Every row of the table is then dropped into one leaf per tree. A query walks all trees with one shared
+priority queue: always the branch that is nearest, in whatever tree, by the sum of the squared distances
+to the borders on its path, until the leaves it reached hold ``share`` of the table's rows (a row counts
+in every tree), and at least as many as are asked for. Their rows are ranked by their exact distance.
+
+How much must be looked at depends on the vectors. The default reaches a recall of 0.9 for points without
+any structure in 64 dimensions, the worst case; clustered vectors need a small part of it.
 
 Leaf sizes and visits are counted first. A leaf with many rows or many visiting queries, as duplicates
 make it, is dealt into blocks, so a group that meets in one task is bounded on both sides. Only the trees
@@ -25,9 +29,14 @@ from pyspark.sql.window import Window
 
 from gristmill.session import Scope
 
-TREES = 10
-LEAF = 128
-SEARCH = 6000
+TREES = 16
+LEAF = 256
+SHARE = 0.75
+# A query looks at this many rows at least, so that small tables are searched whole.
+LEAST_SEARCH = 10_000
+# Random pairs of points whose differences a split chooses from, and points that it is judged by.
+DIRECTIONS = 16
+JUDGED = 500
 SAMPLE = 20_000
 # A leaf has at least this many rows of the sample, which bounds the number of leaves.
 LEAST_SAMPLED = 8
@@ -61,22 +70,24 @@ def grow(points: np.ndarray, leaf: int, draw: np.random.Generator) -> Tree:
 
     def split(at: np.ndarray) -> int:
         nonlocal leaves
-        for _ in range(5 if len(at) > leaf else 0):
-            a, b = points[draw.choice(at, 2, replace=False)]
-            normal = a - b
-            length = np.linalg.norm(normal)
-            if length == 0:
-                continue
-            along = points[at] @ (normal / length)
-            middle = np.median(along)
-            right = along > middle
-            if right.any() and not right.all():
-                node = len(normals)
-                normals.append(normal / length)
-                offsets.append(middle)
-                children.append([0, 0])
-                children[node][:] = [split(at[~right]), split(at[right])]
-                return node
+        if len(at) > leaf:
+            ends = points[draw.choice(at, (2, DIRECTIONS))]
+            across = ends[0] - ends[1]
+            lengths = np.linalg.norm(across, axis=1)
+            across = across[lengths > 0] / lengths[lengths > 0, None]
+            judged = at if len(at) <= JUDGED else draw.choice(at, JUDGED, replace=False)
+            spread = (points[judged] @ across.T).var(axis=0)
+            for normal in across[np.argsort(-spread)]:
+                along = points[at] @ normal
+                middle = np.median(along)
+                right = along > middle
+                if right.any() and not right.all():
+                    node = len(normals)
+                    normals.append(normal)
+                    offsets.append(middle)
+                    children.append([0, 0])
+                    children[node][:] = [split(at[~right]), split(at[right])]
+                    return node
         leaves += 1
         return -leaves
 
@@ -98,22 +109,23 @@ class Forest:
         return np.stack([tree.leaf_of(rows) + f for tree, f in zip(self.trees, self.first[:-1], strict=True)], axis=1)
 
     def visit(self, query: np.ndarray, sizes: np.ndarray, search: int, least: int) -> list[int]:
-        """The leaves a query looks into: the nearest borders first over all trees.
+        """The leaves a query looks into: the nearest branches first over all trees.
 
         It stops when they hold ``search`` rows and one tree's hold ``least`` (so many different rows).
         """
-        queue: list[tuple[float, int, int]] = [(-np.inf, t, 0 if len(tree.normals) else -1) for t, tree in enumerate(self.trees)]
+        queue: list[tuple[float, int, int]] = [(0.0, t, 0 if len(tree.normals) else -1) for t, tree in enumerate(self.trees)]
         heapq.heapify(queue)
+        margins = [tree.normals @ query - tree.offsets if len(tree.normals) else tree.offsets for tree in self.trees]
         first, total, found = self.first, 0, []
         by_tree = np.zeros(len(self.trees), np.int64)
         while queue and (total < search or by_tree.max() < least):
             border, t, node = heapq.heappop(queue)
-            tree = self.trees[t]
+            children = self.trees[t].children
             while node >= 0:
-                margin = float(query @ tree.normals[node] - tree.offsets[node])
+                margin = float(margins[t][node])
                 near = int(margin > 0)
-                heapq.heappush(queue, (max(border, abs(margin)), t, int(tree.children[node, 1 - near])))
-                node = int(tree.children[node, near])
+                heapq.heappush(queue, (border + margin * margin, t, int(children[node, 1 - near])))
+                node = int(children[node, near])
             leaf = int(first[t]) - 1 - node
             if sizes[leaf]:
                 found.append(leaf)
@@ -146,7 +158,8 @@ def nearest(
     k: int = 10,
     trees: int = TREES,
     leaf: int = LEAF,
-    search: int = SEARCH,
+    share: float = SHARE,
+    least_search: int = LEAST_SEARCH,
     sample: int = SAMPLE,
 ) -> tuple[DataFrame, Scope]:
     """``(query_id, rank, vec_id, score)``: each query's ``k`` nearest rows found, by Euclidean distance.
@@ -159,6 +172,7 @@ def nearest(
     rows = valid_vectors(table, id_col, vector_col)
     kind = dict(rows.dtypes)["vector"]
     total = rows.count()
+    search = max(least_search, int(share * total))
     place = F.pmod(F.xxhash64(F.lit("forest"), "id"), F.lit(1_000_003)) / F.lit(1_000_003.0)
     chosen = rows.filter(place < sample / max(1, total)).orderBy("id").collect() if total else []
     points = np.array([r.vector for r in chosen], np.float64)

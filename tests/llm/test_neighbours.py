@@ -39,7 +39,7 @@ def frame(spark, ids, vectors):
 
 def test_recall_and_exact_scores(spark):
     ids, vectors = clusters(6000)
-    out = found(nearest(frame(spark, ids, vectors), F.col("id") % 100 == 0, search=1200)[0])
+    out = found(nearest(frame(spark, ids, vectors), F.col("id") % 100 == 0, share=0.2, least_search=0)[0])
     truth = brute(ids, vectors)
     assert set(out) == set(truth)
     recall = np.mean([len({v for _, v, _ in out[q]} & {v for _, v, _ in truth[q]}) / 10 for q in truth])
@@ -55,7 +55,7 @@ def test_everything_searched_is_exact_with_ties_and_blocks(spark, monkeypatch):
     vectors[100:400] = vectors[100]  # a hot vector
     monkeypatch.setattr(neighbours, "BLOCK_ROWS", 16)
     monkeypatch.setattr(neighbours, "BLOCK_QUERIES", 2)
-    out = found(nearest(frame(spark, ids, vectors), F.col("id") % 100 == 0, search=10**9)[0])
+    out = found(nearest(frame(spark, ids, vectors), F.col("id") % 100 == 0, share=1e6)[0])
     truth = brute(ids, vectors)
     assert {q: [(r, v) for r, v, _ in rows] for q, rows in out.items()} == {q: [(r, v) for r, v, _ in rows] for q, rows in truth.items()}
 
@@ -71,6 +71,6 @@ def test_rows_that_take_no_part(spark):
 
 def test_leaves_depend_on_the_sample_alone(spark):
     ids, vectors = clusters(3000)
-    a = found(nearest(frame(spark, ids, vectors), F.col("id") % 100 == 0, sample=500, search=800)[0])
-    b = found(nearest(frame(spark, ids, vectors).coalesce(1), F.col("id") % 100 == 0, sample=500, search=800)[0])
+    a = found(nearest(frame(spark, ids, vectors), F.col("id") % 100 == 0, sample=500, share=0.1, least_search=100)[0])
+    b = found(nearest(frame(spark, ids, vectors).coalesce(1), F.col("id") % 100 == 0, sample=500, share=0.1, least_search=100)[0])
     assert a == b
