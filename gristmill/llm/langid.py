@@ -28,7 +28,7 @@ SAMPLE = 600
 SHORT, LONG = 1024, 4096
 DIMENSIONS = SHORT + LONG
 # Bytes whose n-grams are counted at once.
-CHUNK = 2_000_000
+CHUNK = 1_000_000
 
 # Language families by ISO 639-1 code. A language that is not listed is a family of its own.
 FAMILIES: Mapping[str, str] = {
@@ -177,9 +177,14 @@ def fit(
     rows = docs.filter(training & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     counts = rows.groupBy(F.col(lang_col).alias("lang")).agg(F.count(F.lit(1)).alias("n"))
     share = counts.select("lang", (F.lit(float(sample)) / F.col("n")).alias("share"))
-    keyed = rows.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).alias("lang"))
-    place = F.pmod(F.xxhash64(F.lit("langid"), F.col("id").cast("string")), F.lit(1_000_003)) / F.lit(1_000_003.0)
-    chosen = keyed.join(share, "lang").filter(place < F.col("share")).select("lang", "text")
+    id_, lang = F.col(id_col).cast("string"), F.col(lang_col)
+    place = F.pmod(F.xxhash64(F.lit("langid"), id_), F.lit(1_000_003)) / F.lit(1_000_003.0)
+    # Only ids and languages are joined. What is chosen, about ``sample`` rows a language, is small enough
+    # to be sent to the scan of the texts, which are not shuffled.
+    keys = rows.select(id_.alias("id"), lang.alias("lang"), place.alias("place")).join(share, "lang")
+    keys = F.broadcast(keys.filter("place < share").select("id").distinct())
+    texts_of = rows.select(id_.alias("id"), lang.alias("lang"), F.col(text_col).cast("string").alias("text"))
+    chosen = texts_of.join(keys, "id", "left_semi").select("lang", "text")
     found = chosen.mapInArrow(_featured, "lang string, row binary").collect()
     found = sorted((r.lang, bytes(r.row)) for r in found)
     if not found:

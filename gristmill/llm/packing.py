@@ -33,7 +33,7 @@ SEGMENTS = 256
 # Tokens of the rests that are packed together.
 POOL_TOKENS = 1_000_000
 # Words whose token ids a worker remembers; started anew beyond that.
-REMEMBERED_WORDS = 500_000
+REMEMBERED_WORDS = 350_000
 # Bytes of text that are split at once.
 PIECE_BYTES = 4_000_000
 _PIECES = (
