@@ -1,7 +1,7 @@
-"""A hashed maximum-entropy language model with a class-factored softmax.
+"""A hashed maximum-entropy language model with a class-factored softmax, under n-grams of all tokens.
 
 A token is a frequent word (the ``WORDS`` most frequent, dealt by rank into ``CLASSES`` classes of equal
-size) or belongs to the class *rest*. Its probability is
+size) or belongs to the class *rest*. The class model is
 
     P(class | context) * P(word | class, context)
 
@@ -10,24 +10,33 @@ token before that, however far back (skip). Inside a frequent class a second sof
 biases and the skip feature; inside *rest* words follow their smoothed counts, with one share for all
 unseen words, so the probabilities of a context add up to one.
 
-Both features have few values, so the counts of (context, outcome) over the whole training corpus are a
-table of bounded size that is sufficient for training: gradient updates run over its rows on Spark and are
-exact full-corpus gradients. Token counts are exact for every token. Counts of the ``FREQUENT`` most
-frequent tokens are sent to the tasks (a bounded table); all others meet the tokens that ask for them in
-hash buckets, packed and combined per slab, so that no word is a hot key.
+The class model is the prior of word n-grams: after a token that occurs c times, a word that follows it n
+times has (n + m * P) / (c + m), which adds up to one as well. Every pair of neighbouring tokens counts,
+however rare both are. The mass m of a level of c is what makes the training corpus most likely with each
+token's own occurrence left out.
+
+Both features of the class model have few values, so the counts of (context, outcome) over the whole
+training corpus are a table of bounded size that is sufficient for training: gradient updates run over its
+rows on Spark and are exact full-corpus gradients. The tables of tokens and of pairs grow with the corpus:
+they are combined per slab, dealt into hash buckets and looked up there, so that no word or pair is a hot
+key; the counts go back to the slab that asked. Token counts are exact for every token. Only counts of the
+``FREQUENT`` most frequent tokens are sent to the tasks.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gristmill.llm.slabs import Slab, bucket_count, cut, from_bytes, mix, slabs
+from gristmill.llm.slabs import Slab, bucket_count, cut, edges, from_bytes, mix, slabs
 from gristmill.session import Scope
 
 FREQUENT = 65_536
@@ -41,15 +50,22 @@ PRIOR = 32.0
 SMOOTHING = 0.1
 # Blocks of the table of context counts.
 BLOCKS = 64
+# Levels of how often the token before occurs (powers of 8), and the masses that the class model's word may
+# have against the counted pairs of a level, times the root of the level's power; last, all of it.
+LEVELS = 8
+MASSES = (0.25, 1.0, 4.0, 16.0, 64.0, 256.0, np.inf)
+# The rows are scored in so many parts, one after the other, as what passes between slabs and buckets is several
+# times the text.
+PARTS = 4
+_ODD = np.uint64(0x9E3779B97F4A7C15)
 _END = np.uint64(0xA5A5A5A55A5A5A5A)
 _COUNTED = "bucket int, keys binary, counts binary"
 _TOTALS = "bucket int, keys binary, counts binary, total long, size long, bins array<int>, sizes array<long>"
-_ASKED = (
-    "bucket int, part int, keys binary, counts binary, docs binary, tf binary, sums binary, known binary, "
-    "ids binary, flags binary, tokens binary, base binary, rest binary"
-)
-_SUMS = "part int, docs binary, sums binary, known binary, ids binary, flags binary, tokens binary, base binary, rest binary"
-_SCORED = "id long, train boolean, n_tokens long, n_known long, base double, model double, rest long, rows long"
+_STATE = ("ids", "flags", "lens", "codes", "base", "pairs")
+_ASKED = "bucket int, slab long, kind int, keys binary, " + ", ".join(f"{name} binary" for name in _STATE)
+_ANSWERED = "slab long, kind int, bucket int, counts binary"
+_MIXED = "ids binary, flags binary, tokens binary, known binary, base binary, sums binary, left_out binary"
+_SCORED = "id long, train boolean, n_tokens long, n_known long, base_score double, score double"
 
 
 @dataclass(frozen=True)
@@ -166,29 +182,41 @@ def train(rows: DataFrame, counts: Counts, scope: Scope, rounds: int = ROUNDS) -
     return Model(previous / ten, skipped / ten, log_z / ten, words / ten)
 
 
+def count_pairs(rows: DataFrame, scope: Scope) -> DataFrame:
+    """Counts of every pair of neighbouring tokens of the training rows, by bucket."""
+    buckets = bucket_count(rows)
+    training = rows.filter("of.train").select("id", "text")
+    counted = training.mapInArrow(lambda it: _count_pairs(it, buckets), _COUNTED)
+    return scope.stage(counted.groupBy("bucket").applyInArrow(_total_pairs, _COUNTED), "pair_counts")
+
+
 def score(rows: DataFrame, counts: Counts, model: Model, scope: Scope) -> DataFrame:
     """``(id, train, n_tokens, n_known, base_score, score)`` of every row, log10 probabilities of the whole text."""
     buckets = bucket_count(rows)
     packed = _lookup(counts)
-    # One pass makes both kinds of rows, sums of documents and rare tokens; it is written once.
-    asked = scope.stage(rows.mapInArrow(lambda it: _ask(it, packed, model, buckets), _ASKED), "asked")
-    own = asked.filter("bucket < 0").select("part", "docs", "sums", "known", "ids", "flags", "tokens", "base", "rest")
-    none = F.lit(None).cast("binary")
-    table = counts.table.select("bucket", "keys", "counts", none.alias("docs"), none.alias("tf"))
-    both = asked.filter("bucket >= 0").select("bucket", "keys", "counts", "docs", "tf").unionAll(table)
-    found = both.groupBy("bucket").applyInArrow(lambda key, t: _answer(t, buckets), _SUMS)
-    summed = own.unionAll(found).groupBy("part").applyInArrow(_sum_up, _SCORED)
-    summed = summed.withColumn("row", F.explode(F.sequence(F.lit(1), F.col("rows"))))
-    rate = float(np.log10(counts.tokens + SMOOTHING * (counts.types + 1)))
+    by_rank = np.zeros(len(counts.keys), np.int64)
+    by_rank[counts.ranks] = counts.counts
     rest = float(np.log10(counts.rest_mass() + SMOOTHING))
-    return summed.select(
-        "id",
-        "train",
-        "n_tokens",
-        "n_known",
-        (F.col("base") - F.col("n_tokens") * rate).alias("base_score"),
-        (F.col("model") - F.col("rest") * rest).alias("score"),
-    )
+    none, frequent, mixed = F.lit(None).cast("binary"), counts.frequent, []
+    with Scope(rows.sparkSession) as kept:
+        given = counts.table.select("bucket", F.lit(0).alias("kind"), "keys", "counts")
+        given = given.unionAll(count_pairs(rows, kept).select("bucket", F.lit(1).alias("kind"), "keys", "counts"))
+        given = given.select("bucket", F.lit(None).cast("long").alias("slab"), "kind", "keys", "counts")
+        for part in range(PARTS):
+            with Scope(rows.sparkSession) as passing:
+                # One pass makes both kinds of rows, slabs and what they ask of the buckets; it is written once.
+                own = rows.filter(F.pmod("id", F.lit(PARTS)) == part)
+                asked = passing.stage(own.mapInArrow(lambda it: _ask(it, packed, model, buckets), _ASKED), "asked")
+                both = asked.filter("bucket >= 0").select("bucket", "slab", "kind", "keys", none.alias("counts"))
+                answers = passing.stage(both.unionAll(given).groupBy("bucket").applyInArrow(_answer, _ANSWERED), "answers")
+                answers = answers.select("slab", "kind", "bucket", "counts", *[none.alias(c) for c in _STATE])
+                state = asked.filter("bucket < 0").select("slab", "kind", "bucket", none.alias("counts"), *_STATE)
+                found = state.unionAll(answers).groupBy("slab").applyInArrow(lambda t: _mixed(t, by_rank, frequent, rest), _MIXED)
+                mixed.append(scope.stage(found, "mixed"))
+    mixed = reduce(DataFrame.unionAll, mixed)
+    chosen = _chosen(mixed)
+    rate = float(np.log10(counts.tokens + SMOOTHING * (counts.types + 1)))
+    return mixed.mapInArrow(lambda it: _scored(it, chosen, rate), _SCORED)
 
 
 def score_texts(
@@ -253,6 +281,46 @@ def _top(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBat
         yield pa.RecordBatch.from_arrays([pa.array(keys[at].view(np.int64)), pa.array(counts[at])], ["key", "n"])
 
 
+# Pairs
+
+
+def _pairs(tokens: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """A hash of each token and the one before; before a document is an end."""
+    before = np.append(tokens[-1:], tokens[:-1])
+    before[starts] = mix(np.array([_END]))
+    return mix(before * _ODD + tokens)
+
+
+def _low(keys: np.ndarray) -> np.ndarray:
+    """The row of a pair in its bucket: each bucket has 2^32, so the table grows with the buckets."""
+    return keys.astype(np.uint32)
+
+
+def _count_pairs(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    for slab, _ in slabs(batches, lower=True):
+        tokens, _, starts = tokens_of(slab)
+        keys, counts = np.unique(_pairs(tokens, starts), return_counts=True)
+        at = cut(keys, buckets)
+        full = [b for b in range(buckets) if at[b] < at[b + 1]]
+        yield pa.RecordBatch.from_pydict(
+            {
+                "bucket": pa.array(full, pa.int32()),
+                "keys": pa.array([_low(keys[at[b] : at[b + 1]]).tobytes() for b in full], pa.binary()),
+                "counts": pa.array([counts[at[b] : at[b + 1]].astype(np.int64).tobytes() for b in full], pa.binary()),
+            }
+        )
+
+
+def _total_pairs(table: pa.Table) -> pa.Table:
+    keys, counts = from_bytes(table["keys"], np.uint32), from_bytes(table["counts"], np.int64)
+    order = np.argsort(keys, kind="stable")
+    keys, counts = keys[order], counts[order]
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+    counts = np.add.reduceat(counts, first)
+    bucket = pa.array([table["bucket"][0].as_py()], pa.int32())
+    return pa.table({"bucket": bucket, "keys": pa.array([keys[first].tobytes()], pa.binary()), "counts": pa.array([counts.tobytes()], pa.binary())})
+
+
 # Contexts
 
 
@@ -398,114 +466,150 @@ def _task_gradient(batches: Iterator[pa.RecordBatch], weights: list[np.ndarray]
 # Scoring
 
 
+def _places(keys: np.ndarray, buckets: int) -> np.ndarray:
+    return (np.searchsorted(edges(buckets), keys, side="right") - 1).astype(np.uint16)
+
+
+def _split(keys: np.ndarray, bucket: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
+    """The keys of each bucket, in their order."""
+    keys = keys[np.argsort(bucket, kind="stable")]
+    border = np.append(0, np.cumsum(np.bincount(bucket, minlength=buckets)))
+    for b in range(buckets):
+        if border[b] < border[b + 1]:
+            yield b, keys[border[b] : border[b + 1]]
+
+
 def _ask(batches: Iterator[pa.RecordBatch], packed: tuple, model: Model, buckets: int) -> Iterator[pa.RecordBatch]:
-    """Per slab: what is known about its documents, and its rare tokens by bucket."""
-    keys, ranks, counts, frequent = packed
-    for slab, of in slabs(batches, lower=True, extra="of"):
-        tokens, doc, starts = tokens_of(slab)
-        n = len(slab.lens)
-        at, rank = _ranked(tokens, keys, ranks)
+    """Per slab: what is known about its tokens, and its rare tokens and its pairs by bucket."""
+    keys, ranks, _, frequent = packed
+    first = TaskContext.get().partitionId() << 32
+    for number, (slab, of) in enumerate(slabs(batches, lower=True, extra="of")):
+        tokens, _, starts = tokens_of(slab)
+        _, rank = _ranked(tokens, keys, ranks)
         previous, skipped = _features(tokens, rank, starts)
         kind = _classes(rank, frequent)
-        listed = rank >= 0
-        log_count = np.zeros(len(tokens))
-        log_count[listed] = np.log10(counts[at[listed]] + SMOOTHING)
         scores = model.previous[previous, kind] + model.skipped[skipped, kind] - model.log_z[previous, skipped]
         own = kind < CLASSES
         scores[own] += model.words[skipped[own], rank[own]]
-        # Words of the class rest: the logarithm of the count, the class's mass is taken off at the end.
-        scores[~own] += log_count[~own]
-        rare = np.flatnonzero(~listed)
-        order = rare[np.argsort(tokens[rare], kind="stable")]
-        asked, asked_doc = tokens[order], doc[order]
-        new = np.append(True, (asked[1:] != asked[:-1]) | (asked_doc[1:] != asked_doc[:-1])) if len(order) else np.empty(0, bool)
-        first = np.flatnonzero(new)
-        tf = np.diff(np.append(first, len(order)))
-        asked, asked_doc = asked[first], slab.ids[asked_doc[first]]
-        border = cut(asked, buckets)
-        rows = []
-        for b in range(buckets):
-            part = np.arange(border[b], border[b + 1])
-            if len(part):
-                part = part[np.argsort(asked_doc[part], kind="stable")]
-                rows.append((b, None, asked[part].tobytes(), None, asked_doc[part].tobytes(), tf[part].astype(np.int32).tobytes(), *[None] * 7))
-        sums = np.bincount(doc, scores, minlength=n)
-        base = np.bincount(doc, log_count, minlength=n)
-        known = np.bincount(doc, listed, minlength=n).astype(np.int64)
-        rest = np.bincount(doc, ~own, minlength=n).astype(np.int64)
+        rare = np.flatnonzero(rank < 0)
+        where = _places(tokens[rare], buckets)
+        codes = rank.astype(np.int32)
+        codes[rare] = -1 - where.astype(np.int32)
+        pairs = _pairs(tokens, starts)
+        met = _places(pairs, buckets)
+        rows = [(b, first + number, 0, part.tobytes(), *[None] * 6) for b, part in _split(tokens[rare], where, buckets)]
+        rows += [(b, first + number, 1, part.tobytes(), *[None] * 6) for b, part in _split(_low(pairs), met, buckets)]
         ids = np.array([o["id"] if o["id"] is not None else 0 for o in of], np.int64)
         flags = np.array([o["train"] + 2 * (o["id"] is None) for o in of], np.int64)
-        columns = (slab.ids, sums, known, ids, flags, slab.lens + 1, base, rest)
-        for part, arrays in parted(slab.ids, columns, buckets):
-            docs, *others = (x.tobytes() for x in arrays)
-            rows.append((-1, part, None, None, docs, None, *others))
-        yield _batch(rows)
-
-
-def parted(keys: np.ndarray, columns: tuple, parts: int) -> Iterator[tuple[int, list[np.ndarray]]]:
-    """The columns by the remainder of their key."""
-    part = keys % parts
-    order = np.argsort(part, kind="stable")
-    first = np.append(np.flatnonzero(np.diff(part[order], prepend=-1)), len(part))
-    for a, z in zip(first[:-1], first[1:], strict=True):
-        yield int(part[order[a]]), [column[order[a:z]] for column in columns]
-
-
-def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    names = [field.split()[0] for field in _ASKED.split(", ")]
-    columns = list(zip(*rows, strict=True)) if rows else [[] for _ in names]
-    kinds = [pa.int32(), pa.int32()] + [pa.binary()] * 11
-    return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], names)
-
-
-def _answer(table: pa.Table, parts: int) -> pa.Table:
-    """Sums over the rare tokens of one bucket, by document."""
-    is_count = [value is not None for value in table["counts"].to_pylist()]
-    given = table.filter(pa.array(is_count))
-    asked = table.filter(pa.array([not x for x in is_count]))
-    keys, counts = from_bytes(given["keys"], np.uint64), from_bytes(given["counts"], np.int64)
-    wanted, docs = from_bytes(asked["keys"], np.uint64), from_bytes(asked["docs"], np.int64)
-    tf = from_bytes(asked["tf"], np.int32).astype(np.int64)
-    found = np.zeros(len(wanted), np.int64)
-    if len(keys):
-        at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-        found = np.where(keys[at] == wanted, counts[at], 0)
-    own, at = np.unique(docs, return_inverse=True)
-    sums = np.bincount(at, tf * np.log10(found + SMOOTHING), minlength=len(own))
-    known = np.bincount(at, tf * (found > 0), minlength=len(own)).astype(np.int64)
-    rows = [(part, *(x.tobytes() for x in arrays)) for part, arrays in parted(own, (own, sums, known), parts)]
-    columns = list(zip(*rows, strict=True)) if rows else [[]] * 4
-    names = [field.split()[0] for field in _SUMS.split(", ")]
-    empty = pa.array([None] * len(rows), pa.binary())
-    arrays = [pa.array(list(columns[0]), pa.int32()), *(pa.array(list(c), pa.binary()) for c in columns[1:])]
-    return pa.Table.from_arrays([*arrays, *[empty] * 5], names)
-
-
-def _sum_up(table: pa.Table) -> pa.Table:
-    """One row per document of a part: the sums of all buckets and of its own row."""
-    own = table.filter(pa.array([value is not None for value in table["ids"].to_pylist()]))
-    docs = from_bytes(own["docs"], np.int64)
-    keys, first, at, rows = np.unique(docs, return_index=True, return_inverse=True, return_counts=True)
-    read = {name: from_bytes(own[name], kind) for name, kind in (
-        ("ids", np.int64), ("flags", np.int64), ("tokens", np.int64), ("rest", np.int64), ("base", np.float64))}
-    everywhere = np.searchsorted(keys, from_bytes(table["docs"], np.int64))
-    sums = np.bincount(everywhere, from_bytes(table["sums"], np.float64), minlength=len(keys)) / rows
-    known = np.bincount(everywhere, from_bytes(table["known"], np.int64), minlength=len(keys)) / rows
-    # What the buckets add counts for the base as well.
-    others = table.filter(pa.array([value is None for value in table["ids"].to_pylist()]))
-    where = np.searchsorted(keys, from_bytes(others["docs"], np.int64))
-    rare = np.bincount(where, from_bytes(others["sums"], np.float64), minlength=len(keys)) / rows
-    flags = read["flags"][first]
-    ids = [None if flag & 2 else int(i) for i, flag in zip(read["ids"][first], flags, strict=True)]
-    return pa.table(
-        {
-            "id": pa.array(ids, pa.int64()),
-            "train": pa.array((flags & 1).astype(bool)),
-            "n_tokens": pa.array(read["tokens"][first]),
-            "n_known": pa.array(np.rint(known).astype(np.int64)),
-            "base": pa.array(read["base"][first] + rare),
-            "model": pa.array(sums),
-            "rest": pa.array(read["rest"][first]),
-            "rows": pa.array(rows.astype(np.int64)),
-        }
-    )
+        state = (ids, flags, slab.lens + 1, codes, scores.astype(np.float32), met)
+        rows.append((-1, first + number, -1, None, *(x.tobytes() for x in state)))
+        kinds = [pa.int32(), pa.int64(), pa.int32()] + [pa.binary()] * 7
+        columns = zip(*rows, strict=True)
+        names = ["bucket", "slab", "kind", "keys", *_STATE]
+        yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], names)
+
+
+def _packed(counts: np.ndarray) -> bytes:
+    """Counts by byte, lowest bytes first, compressed: most are small."""
+    return zlib.compress(np.ascontiguousarray(counts.view(np.uint8).reshape(-1, 8).T).tobytes(), 1)
+
+
+def _unpacked(packed: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(zlib.decompress(packed), np.uint8).reshape(8, -1).T).view(np.int64).ravel()
+
+
+def _answer(table: pa.Table) -> pa.Table:
+    """The counts of all that is asked of one bucket, in the order in which each slab asks."""
+    slab, kinds, bucket = table["slab"].to_pylist(), table["kind"].to_pylist(), table["bucket"][0].as_py()
+    found: list[tuple] = []
+    for kind, dtype in ((0, np.uint64), (1, np.uint32)):
+        given = table.filter(pa.array([s is None and k == kind for s, k in zip(slab, kinds, strict=True)]))
+        keys, counts = from_bytes(given["keys"], dtype), from_bytes(given["counts"], np.int64)
+        for row, (s, k) in enumerate(zip(slab, kinds, strict=True)):
+            if s is not None and k == kind:
+                wanted = np.frombuffer(table["keys"][row].as_py(), dtype)
+                answer = np.zeros(len(wanted), np.int64)
+                if len(keys):
+                    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+                    answer = np.where(keys[at] == wanted, counts[at], 0)
+                found.append((s, kind, bucket, _packed(answer)))
+    columns = list(zip(*found, strict=True)) or [[]] * 4
+    types = [pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+    return pa.table([pa.array(list(c), t) for c, t in zip(columns, types, strict=True)], names=["slab", "kind", "bucket", "counts"])
+
+
+def _mixed(table: pa.Table, by_rank: np.ndarray, frequent: int, rest_mass: float) -> pa.Table:
+    """Per document of a slab: exact counts, and the log probabilities by level under every mass.
+
+    ``left_out`` has the sums over the training documents with each token's own occurrence taken away.
+    """
+    kinds = table["kind"].to_pylist()
+    state = table.filter(pa.array([k < 0 for k in kinds]))
+    types = (np.int64, np.int64, np.int64, np.int32, np.float32, np.uint16)
+    ids, flags, lens, codes, base, met = (from_bytes(state[name], t) for name, t in zip(_STATE, types, strict=True))
+    base = base.astype(np.float64)
+
+    def answered(kind: int) -> np.ndarray:
+        own = table.filter(pa.array([k == kind for k in kinds]))
+        parts = own.take(np.argsort(own["bucket"].to_numpy(), kind="stable"))["counts"].to_pylist()
+        return np.concatenate([np.empty(0, np.int64), *map(_unpacked, parts)])
+
+    rare = np.flatnonzero(codes < 0)
+    counts = np.zeros(len(codes), np.int64)
+    counts[codes >= 0] = by_rank[codes[codes >= 0]]
+    counts[rare[np.argsort((-1 - codes[rare]).astype(np.uint16), kind="stable")]] = answered(0)
+    pairs = np.empty(len(codes), np.int64)
+    pairs[np.argsort(met, kind="stable")] = answered(1)
+    doc = np.repeat(np.arange(len(lens)), lens)
+    ends = np.cumsum(lens)
+    before = np.append(0, counts[:-1])
+    before[ends - lens] = counts[ends - 1]
+    rest = (codes < 0) | (codes >= frequent)
+    level = np.minimum(np.log2(np.maximum(before, 1)) // 3, LEVELS - 1).astype(np.int64)
+    train = (flags & 1).astype(bool)
+
+    def logs(taken: int, of: np.ndarray) -> Iterator[np.ndarray]:
+        word = base[of].copy()
+        own = np.maximum(counts[of] - taken, 0)[rest[of]]
+        word[rest[of]] += np.log10(own + SMOOTHING) - rest_mass
+        pair, context = np.maximum(pairs[of] - taken, 0), np.maximum(before[of] - taken, 0)
+        share, root = 10**word, 8.0 ** (level[of] / 2)
+        for factor in MASSES:
+            mass = factor * root
+            yield word if np.isinf(factor) else np.log10((pair + mass * share) / (context + mass))
+
+    everything, learned = np.arange(len(codes)), np.flatnonzero(train[doc])
+    place = doc * LEVELS + level
+    sums = np.stack([np.bincount(place, x, minlength=len(lens) * LEVELS) for x in logs(0, everything)], axis=-1)
+    left_out = np.stack([np.bincount(level[learned], x, minlength=LEVELS) for x in logs(1, learned)], axis=-1)
+    known = np.bincount(doc, counts > 0, minlength=len(lens)).astype(np.int64)
+    exact = np.bincount(doc, np.log10(counts + SMOOTHING), minlength=len(lens))
+    columns = (ids, flags, lens, known, exact, sums, left_out)
+    names = [field.split()[0] for field in _MIXED.split(", ")]
+    return pa.table([pa.array([x.tobytes()], pa.binary()) for x in columns], names=names)
+
+
+def _chosen(mixed: DataFrame) -> np.ndarray:
+    """The mass of each level that makes the training corpus most likely, left-out sums taken."""
+
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(LEVELS * len(MASSES))
+        for batch in batches:
+            total += from_bytes(batch.column(0), np.float64).reshape(-1, len(total)).sum(axis=0)
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["left_out"])
+
+    total = np.zeros(LEVELS * len(MASSES))
+    for row in mixed.select("left_out").mapInArrow(added, "left_out binary").collect():
+        total += np.frombuffer(row.left_out, np.float64)
+    total = total.reshape(LEVELS, len(MASSES))
+    return np.where(total.any(axis=1), total.argmax(axis=1), len(MASSES) - 1)
+
+
+def _scored(batches: Iterator[pa.RecordBatch], chosen: np.ndarray, rate: float) -> Iterator[pa.RecordBatch]:
+    names = [field.split()[0] for field in _SCORED.split(", ")]
+    for batch in batches:
+        types = (np.int64, np.int64, np.int64, np.int64, np.float64, np.float64)
+        ids, flags, lens, known, base, sums = (from_bytes(batch.column(i), t) for i, t in enumerate(types))
+        model = sums.reshape(-1, LEVELS, len(MASSES))[:, np.arange(LEVELS), chosen].sum(axis=1)
+        arrays = [pa.array(ids, mask=(flags & 2) > 0), pa.array((flags & 1) > 0), pa.array(lens), pa.array(known)]
+        yield pa.RecordBatch.from_arrays([*arrays, pa.array(base - lens * rate), pa.array(model)], names)

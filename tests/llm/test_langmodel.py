@@ -96,3 +96,17 @@ def test_empty_tables(spark):
     assert score_texts(spark.createDataFrame([], SCHEMA), training())[0].count() == 0
     nothing = score_texts(spark.createDataFrame([(1, "a b"), (2, None)], SCHEMA), F.lit(False))[0].collect()
     assert sorted((r.id, r.n_tokens, r.n_known, r.train_tokens, r.base_score) for r in nothing) == [(1, 3, 0, 0, 0.0), (2, 1, 0, 0, 0.0)]
+
+
+def test_word_pairs_of_rare_tokens_are_learned(spark):
+    """4,000 words, most beyond the words of the class softmax; each is always followed by the same one."""
+    draw, words = random.Random(8), 4000
+    texts = {i: [draw.randrange(words)] for i in range(1200)}
+    for text in texts.values():
+        text.extend((text[0] + k) % words for k in range(1, 20))
+    rows = [(i, " ".join(f"w{w}" for w in text)) for i, text in texts.items()]
+    ordered = score_texts(spark.createDataFrame(rows, SCHEMA).repartition(3), training(), rounds=2)[0].collect()
+    held = [r for r in ordered if held_out(r.id)]
+    # After the first word, which is drawn from 4,000, nothing is open but where a text ends.
+    assert sum(r.score for r in held) / len(held) > -20
+    assert sum(r.base_score for r in held) / len(held) < -60
