@@ -7,6 +7,10 @@ priority queue: always the branch that is nearest, in whatever tree, by the sum
 to the borders on its path, until the leaves it reached hold ``share`` of the table's rows (a row counts
 in every tree), and at least as many as are asked for. Their rows are ranked by their exact distance.
 
+Equal vectors are one row of the forest, which carries its smallest ids, as many as can be asked for: copies
+use up neither the sample nor a query's share, and come back when they are ranked. Since a missed row would
+then miss all its copies, the ``HOT`` most repeated vectors are ranked for every query besides.
+
 How much must be looked at depends on the vectors. The default reaches a recall of 0.9 for points without
 any structure in 64 dimensions, the worst case; clustered vectors need a small part of it.
 
@@ -23,6 +27,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -40,6 +45,9 @@ JUDGED = 500
 SAMPLE = 20_000
 # A leaf has at least this many rows of the sample, which bounds the number of leaves.
 LEAST_SAMPLED = 8
+# Equal vectors are brought together in so many groups first, so that a hot one doesn't meet in one task.
+GROUPS = 16
+HOT = 1024
 BLOCK_ROWS = 4096
 BLOCK_QUERIES = 2048
 
@@ -171,39 +179,75 @@ def nearest(
     scope = Scope(table.sparkSession)
     rows = valid_vectors(table, id_col, vector_col)
     kind = dict(rows.dtypes)["vector"]
-    total = rows.count()
+    distinct = scope.stage(_collapsed(rows, k + 1), "vectors")
+    total = distinct.count()
     search = max(least_search, int(share * total))
     place = F.pmod(F.xxhash64(F.lit("forest"), "id"), F.lit(1_000_003)) / F.lit(1_000_003.0)
-    chosen = rows.filter(place < sample / max(1, total)).orderBy("id").collect() if total else []
+    chosen = distinct.filter(place < sample / max(1, total)).orderBy("id", "vector").collect() if total else []
     points = np.array([r.vector for r in chosen], np.float64)
     draw = np.random.default_rng(5)
     own_leaf = max(LEAST_SAMPLED, int(leaf * len(points) / max(1, total)))
     forest = Forest([grow(points, own_leaf, draw) for _ in range(trees)] if len(points) else [_one_leaf() for _ in range(trees)])
     placed = scope.stage(
-        rows.mapInArrow(lambda it: _placed(it, forest), f"id long, vector {kind}, leaves array<int>"), "placed"
+        distinct.select("id", "vector", "ids").mapInArrow(lambda it: _placed(it, forest), f"id long, vector {kind}, ids array<long>, leaves array<int>"), "placed"
     )
     sizes = _per_leaf(placed, forest)
     routed = scope.stage(
-        placed.filter(queries).mapInArrow(
-            lambda it: _routed(it, forest, sizes, search, k + 1), f"id long, vector {kind}, leaves array<int>"
+        rows.filter(queries).mapInArrow(
+            lambda it: _routed(it, forest, sizes, search, k + 1), f"id long, vector {kind}, ids array<long>, leaves array<int>"
         ),
         "routed",
     )
     visits = _per_leaf(routed, forest)
     row_blocks, query_blocks = -(-sizes // BLOCK_ROWS), -(-visits // BLOCK_QUERIES)
-    met = f"leaf int, block int, part int, is_query boolean, id long, vector {kind}"
+    met = f"leaf int, block int, part int, is_query boolean, id long, vector {kind}, ids array<long>"
     both = placed.mapInArrow(lambda it: _dealt(it, row_blocks, query_blocks, False), met).unionAll(
         routed.mapInArrow(lambda it: _dealt(it, row_blocks, query_blocks, True), met)
     )
     found = both.groupBy("leaf", "block", "part").applyInArrow(
         lambda t: _ranked(t, k), "query_id long, vec_id long, score double"
     )
+    top = distinct.filter("copies > 1").orderBy(F.desc("copies"), "id", "vector").limit(HOT).collect()
+    if top:
+        hot, members = np.array([r.vector for r in top], np.float64), [np.array(r.ids, np.int64) for r in top]
+        found = found.unionAll(
+            routed.select("id", "vector").mapInArrow(lambda it: _hot(it, hot, members, k), "query_id long, vec_id long, score double")
+        )
     once = found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy("score", "vec_id")
     ranked = once.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score"), scope
 
 
+def _collapsed(rows: DataFrame, members: int) -> DataFrame:
+    """``(id, vector, ids, copies)``: every vector once with its ``members`` smallest ids, the smallest as ``id``."""
+    kind = dict(rows.dtypes)["vector"]
+    smallest = F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list("ids")))), 1, members).alias("ids")
+    found = rows.mapInArrow(lambda it: _members(it, members), f"group int, vector {kind}, ids array<long>, copies long")
+    copies = F.sum("copies").alias("copies")
+    found = found.groupBy("vector", "group").agg(smallest, copies).groupBy("vector").agg(smallest, copies)
+    return found.select(F.col("ids")[0].alias("id"), "vector", "ids", "copies")
+
+
+def _members(batches: Iterator[pa.RecordBatch], members: int) -> Iterator[pa.RecordBatch]:
+    """The vectors of each batch once."""
+    group = TaskContext.get().partitionId() % GROUPS
+    for batch in batches:
+        if batch.num_rows:
+            ids, vectors = batch.column(0).to_numpy(), np.ascontiguousarray(_matrix(batch.column(1)) + 0.0)
+            keys = vectors.view(np.dtype((np.void, vectors.shape[1] * 8))).ravel()
+            _, first, own, copies = np.unique(keys, return_index=True, return_inverse=True, return_counts=True)
+            order = np.lexsort((ids, own))
+            parts = np.split(ids[order], np.flatnonzero(np.diff(own[order])) + 1)
+            parts = [np.unique(part)[:members] for part in parts]
+            ends = np.cumsum([0, *map(len, parts)]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(parts), pa.int64()))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(first), group), pa.int32()), batch.column(1).take(pa.array(first)), lists, pa.array(copies, pa.int64())],
+                ["group", "vector", "ids", "copies"],
+            )
+
+
 def _one_leaf() -> Tree:
     return Tree(np.empty((0, 0)), np.empty(0), np.empty((0, 2), np.int64), 1)
 
@@ -231,7 +275,7 @@ def _placed(batches: Iterator[pa.RecordBatch], forest: Forest) -> Iterator[pa.Re
     for batch in batches:
         if batch.num_rows:
             leaves = _leaf_lists(list(forest.leaves_of(_matrix(batch.column(1))).astype(np.int32)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), leaves], ["id", "vector", "leaves"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, leaves], ["id", "vector", "ids", "leaves"])
 
 
 def _routed(
@@ -240,9 +284,8 @@ def _routed(
     for batch in batches:
         if batch.num_rows:
             found = [np.array(forest.visit(q, sizes, search, least), np.int32) for q in _matrix(batch.column(1))]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), _leaf_lists(found)], ["id", "vector", "leaves"]
-            )
+            none = pa.nulls(batch.num_rows, pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, none, _leaf_lists(found)], ["id", "vector", "ids", "leaves"])
 
 
 def _dealt(
@@ -256,7 +299,7 @@ def _dealt(
     for batch in batches:
         for start in range(0, batch.num_rows, 1024):
             piece = batch.slice(start, 1024)
-            leaves = piece.column(2)
+            leaves = piece.column(3)
             lens = leaves.value_lengths().to_numpy(zero_copy_only=False)
             at, leaf = np.repeat(np.arange(piece.num_rows), lens), leaves.flatten().to_numpy().astype(np.int64)
             ids = piece.column(0).to_numpy()
@@ -268,8 +311,8 @@ def _dealt(
             taken = piece.take(pa.array(at))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(leaf, pa.int32()), pa.array(block, pa.int32()), pa.array(part, pa.int32()),
-                 pa.array(np.full(len(at), is_query)), taken.column(0), taken.column(1)],
-                ["leaf", "block", "part", "is_query", "id", "vector"],
+                 pa.array(np.full(len(at), is_query)), *taken.columns[:3]],
+                ["leaf", "block", "part", "is_query", "id", "vector", "ids"],
             )
 
 
@@ -278,22 +321,38 @@ def _ranked(table: pa.Table, k: int) -> pa.Table:
     table = table.combine_chunks()
     is_query = table["is_query"].to_numpy()
     ids, vectors = table["id"].to_numpy(), _matrix(table["vector"].combine_chunks())
-    row_ids, rows = ids[~is_query], vectors[~is_query]
+    members = table.filter(pa.array(~is_query))["ids"].combine_chunks()
+    lens = members.value_lengths().to_numpy()
+    return pa.table(_best(ids[is_query], vectors[is_query], vectors[~is_query], members.flatten().to_numpy(), lens, k))
+
+
+def _hot(batches: Iterator[pa.RecordBatch], hot: np.ndarray, members: list[np.ndarray], k: int) -> Iterator[pa.RecordBatch]:
+    """The nearest of the most repeated vectors for each query."""
+    row_ids, lens = np.concatenate(members), np.array([len(m) for m in members])
+    for batch in batches:
+        if batch.num_rows:
+            ids, vectors = batch.column(0).to_numpy(), _matrix(batch.column(1))
+            yield pa.RecordBatch.from_pydict(_best(ids, vectors, hot, row_ids, lens, k))
+
+
+def _best(
+    ids: np.ndarray, vectors: np.ndarray, rows: np.ndarray, row_ids: np.ndarray, lens: np.ndarray, k: int
+) -> dict[str, pa.Array]:
+    """Each query's nearest ids; a row has ``lens`` of ``row_ids``."""
+    row = np.repeat(np.arange(len(rows)), lens)
     out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    for query, vector in zip(ids[is_query], vectors[is_query], strict=True):
-        distance = np.sqrt(((rows - vector) ** 2).sum(axis=1))
+    for query, vector in zip(ids, vectors, strict=True):
+        distance = np.sqrt(((rows - vector) ** 2).sum(axis=1))[row]
         others = np.flatnonzero(row_ids != query)
-        # Copies of a row in one group count once, so more than k may be looked at.
+        # An id in several rows of one group counts once, so more than k may be looked at.
         order = others[np.lexsort((row_ids[others], distance[others]))]
         _, first = np.unique(row_ids[order], return_index=True)
         order = order[np.sort(first)[:k]]
         out.append((np.full(len(order), query), row_ids[order], distance[order]))
     parts = list(zip(*out, strict=True)) or [[], [], []]
     query_ids, vec_ids, scores = (np.concatenate(p) if len(p) else np.empty(0, np.int64) for p in parts)
-    return pa.table(
-        {
-            "query_id": pa.array(query_ids, pa.int64()),
-            "vec_id": pa.array(vec_ids, pa.int64()),
-            "score": pa.array(scores.astype(np.float64)),
-        }
-    )
+    return {
+        "query_id": pa.array(query_ids, pa.int64()),
+        "vec_id": pa.array(vec_ids, pa.int64()),
+        "score": pa.array(scores.astype(np.float64)),
+    }

@@ -74,3 +74,17 @@ def test_leaves_depend_on_the_sample_alone(spark):
     a = found(nearest(frame(spark, ids, vectors), F.col("id") % 100 == 0, sample=500, share=0.1, least_search=100)[0])
     b = found(nearest(frame(spark, ids, vectors).coalesce(1), F.col("id") % 100 == 0, sample=500, share=0.1, least_search=100)[0])
     assert a == b
+
+
+def test_a_hot_short_vector_takes_nothing_from_the_search(spark):
+    draw = np.random.default_rng(9)
+    vectors = draw.normal(size=(21_000, 64))
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    vectors[7_000:14_000] = 0.3 * vectors[7_000]
+    vectors, ids = vectors.astype(np.float32).astype(np.float64), np.arange(21_000)
+    asked = (F.col("id") % 100 == 0) & ((F.col("id") < 7_000) | (F.col("id") == 8_000))
+    out = found(nearest(frame(spark, ids, vectors), asked)[0])
+    truth = {q: rows for q, rows in brute(ids, vectors).items() if q in out}
+    assert len(out) == 71 and [v for _, v, _ in out[8_000]] == list(range(7_000, 7_010))
+    recall = [len({v for _, v, _ in out[q]} & {v for _, v, _ in truth[q]}) / 10 for q in truth if q < 7_000]
+    assert np.mean(recall) >= 0.9
