@@ -17,10 +17,13 @@ from gristmill.session import Scope
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told; those without text or letters are rejected."""
+    """Documents whose language can be told; those without text or letters are rejected, and no others."""
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3
     model = langid.fit(docs, fold != 1)
     kept = docs.filter(F.col("text").isNotNull())
+    if not model.families:
+        # Nothing could be learned: the text alone decides.
+        return kept.filter(F.col("text").rlike(r"\p{L}"))
     found = langid.with_language(kept, model)
     return found.filter(F.col("lang_pred") != langid.UNKNOWN).select(*docs.columns)
 

@@ -80,3 +80,9 @@ def test_stages_keep_the_columns(spark, tmp_path):
 def test_empty_documents(spark, tmp_path):
     write(spark, tmp_path, [], [(1, "a b c")])
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_documents_stay_if_no_language_can_be_learned(spark):
+    rows = [(i, text, None, "s", 0) for i, text in enumerate(["some words", None, "", "12 34 !!", "\u00e9t\u00e9"])]
+    kept = corpus_pipeline.language_id(spark, spark.createDataFrame(rows, SCHEMA), "")
+    assert sorted(r.doc_id for r in kept.collect()) == [0, 4]
