@@ -139,6 +139,14 @@ def op10_random_projection_forest(spark: SparkSession, folder: str) -> DataFrame
     return nearest(read(spark, folder, "embeddings"), F.col("id") % 100 == 0)[0]
 
 
+def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    """Variants among the words of all documents, one code point of some runs deleted by the rule of ``shorten``."""
+    from gristmill.llm import spelling
+
+    docs = read(spark, folder, "documents").select("doc_id", "text")
+    return spelling.variants(spelling.word_counts(docs, damage=spelling.shorten))[0]
+
+
 QUERIES = {
     "pipeline": corpus_pipeline.run,
     "op1_language_id": op1_language_id,
@@ -151,6 +159,7 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_minhash_dedup": op9_minhash_dedup,
     "op10_random_projection_forest": op10_random_projection_forest,
+    "op12_spelling_variants": op12_spelling_variants,
 }
 
 UPPER, PLAIN = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -162,6 +171,19 @@ TEST_WORDS = (
     f"regexp_extract_all(coalesce(translate(text, '{UPPER}', '{PLAIN}'), ''), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 )
 
+# The CRC-32 of a text's UTF-8 bytes: a table made from the polynomial, and a fold over the bytes.
+CRC_TABLE = """crc_table AS MATERIALIZED (
+  SELECT list(c ORDER BY i) AS v FROM (
+    SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, x: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) AS c
+    FROM (SELECT unnest(range(256)) AS i)
+  )
+)"""
+CRC = """xor(4294967295, list_reduce(
+  list_prepend(CAST(4294967295 AS BIGINT), list_transform(range(1, octet_length(encode({0})) + 1),
+    lambda k: CAST(('0x' || substr(hex(encode({0})), 2 * k - 1, 2)) AS BIGINT))),
+  lambda c, x: xor(c >> 8, (SELECT v FROM crc_table)[1 + (xor(c, x) & 255)])
+))"""
+
 SQL: dict[str, str] = {
     "op4_chat_format": rf"""
 WITH turns AS (
@@ -235,5 +257,39 @@ least_of AS (SELECT doc_id, min(other) AS other FROM reach GROUP BY doc_id)
 SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, coalesce(other, doc_id)) AS component_id,
   doc_id = least(doc_id, coalesce(other, doc_id)) AS kept
 FROM docs LEFT JOIN sizes USING (doc_id) LEFT JOIN least_of USING (doc_id)
+""",
+    "op12_spelling_variants": f"""
+WITH RECURSIVE {CRC_TABLE},
+runs AS (
+  SELECT doc_id, run, count(*) AS k
+  FROM (SELECT doc_id, unnest(regexp_extract_all(translate(text, '{UPPER}', '{PLAIN}'), '[A-Za-z\\x{{C0}}-\\x{{FF}}]+')) AS run FROM documents)
+  WHERE length(run) >= 7 GROUP BY doc_id, run
+),
+hashed AS (SELECT run, k, {CRC.format("keyed").replace("(SELECT v FROM crc_table)", "v")} AS h FROM (SELECT *, coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run AS keyed FROM runs), crc_table),
+cut AS (SELECT CASE WHEN h % 31 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, k FROM hashed),
+words AS MATERIALIZED (SELECT word, CAST(sum(k) AS BIGINT) AS n FROM cut WHERE length(word) >= 7 GROUP BY word HAVING sum(k) >= 2),
+holes AS MATERIALIZED (
+  SELECT word, i, left(word, i) AS a, substr(word, i + 2) AS b FROM (SELECT word, unnest(range(length(word))) AS i FROM words)
+),
+one_longer AS (SELECT DISTINCT words.word AS x, holes.word AS y FROM holes JOIN words ON words.word = holes.a || holes.b),
+near AS MATERIALIZED (
+  SELECT p.word AS word, q.word AS other FROM holes p JOIN holes q USING (i, a, b) WHERE p.word <> q.word
+  UNION ALL SELECT x, y FROM one_longer UNION ALL SELECT y, x FROM one_longer
+),
+ranked AS (
+  SELECT near.word, other, words.n AS other_n, count(*) OVER (PARTITION BY near.word) AS n_near,
+    row_number() OVER (PARTITION BY near.word ORDER BY words.n DESC, other) AS place
+  FROM near JOIN words ON words.word = near.other
+),
+forms AS MATERIALIZED (
+  SELECT words.word, words.n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 10 * n THEN other END AS form,
+    CASE WHEN other_n >= 10 * n THEN other_n END AS form_n
+  FROM words LEFT JOIN ranked ON ranked.word = words.word AND place = 1
+),
+steps(word, step) AS (
+  SELECT word, word FROM forms UNION ALL SELECT steps.word, forms.form FROM steps JOIN forms ON forms.word = steps.step WHERE forms.form IS NOT NULL
+),
+roots AS (SELECT steps.word, step AS root FROM steps JOIN forms ON forms.word = steps.step WHERE forms.form IS NULL)
+SELECT word, form, root, n, n_near, form_n FROM forms JOIN roots USING (word)
 """,
 }

@@ -33,7 +33,7 @@ def result(spark, name):
 
 def test_all_are_registered():
     assert set(QUERIES) <= set(queries()) and set(SQL) <= set(oracle_sql())
-    assert {int(name[2:].split("_")[0]) for name in QUERIES if name.startswith("op")} == set(range(1, 11))
+    assert {int(name[2:].split("_")[0]) for name in QUERIES if name.startswith("op")} == set(range(1, 14))
     assert [name for name, _ in corpus_pipeline.STAGES] == ["language_id", "near_dedup", "substring_dedup", "decontamination", "packing"]
 
 
