@@ -139,6 +139,19 @@ def op10_random_projection_forest(spark: SparkSession, folder: str) -> DataFrame
     return nearest(read(spark, folder, "embeddings"), F.col("id") % 100 == 0)[0]
 
 
+def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """Repair of the damaged conversations; one that lost all its rows has zeros and the hash of nothing."""
+    from gristmill.llm import repair
+
+    rows = read(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    found, _ = repair.repair(repair.damaged(rows))
+    every = rows.select(F.col("conv_id").alias("original")).distinct()
+    joined = every.join(found, F.col("original").eqNullSafe(F.col("conv_id")), "left")
+    counts = [F.coalesce(name, F.lit(0).cast("long")).alias(name) for name in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    texts = [F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256")]
+    return joined.select(F.col("original").alias("conv_id"), *counts, *texts)
+
+
 def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
     """Variants among the words of all documents, one code point of some runs deleted by the rule of ``shorten``."""
     from gristmill.llm import spelling
@@ -159,6 +172,7 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_minhash_dedup": op9_minhash_dedup,
     "op10_random_projection_forest": op10_random_projection_forest,
+    "op11_conversation_repair": op11_conversation_repair,
     "op12_spelling_variants": op12_spelling_variants,
 }
 
@@ -181,7 +195,7 @@ CRC_TABLE = """crc_table AS MATERIALIZED (
 CRC = """xor(4294967295, list_reduce(
   list_prepend(CAST(4294967295 AS BIGINT), list_transform(range(1, octet_length(encode({0})) + 1),
     lambda k: CAST(('0x' || substr(hex(encode({0})), 2 * k - 1, 2)) AS BIGINT))),
-  lambda c, x: xor(c >> 8, (SELECT v FROM crc_table)[1 + (xor(c, x) & 255)])
+  lambda c, x: xor(c >> 8, crc_table.v[1 + (xor(c, x) & 255)])
 ))"""
 
 SQL: dict[str, str] = {
@@ -257,6 +271,77 @@ least_of AS (SELECT doc_id, min(other) AS other FROM reach GROUP BY doc_id)
 SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, coalesce(other, doc_id)) AS component_id,
   doc_id = least(doc_id, coalesce(other, doc_id)) AS kept
 FROM docs LEFT JOIN sizes USING (doc_id) LEFT JOIN least_of USING (doc_id)
+""",
+    "op11_conversation_repair": f"""
+WITH RECURSIVE {CRC_TABLE},
+rows AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS keyed FROM conversations
+),
+fates AS (SELECT conv_id, turn, role, text, {CRC.format("keyed")} % 20 AS fate FROM rows, crc_table),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN fate = 4 THEN 'user' ELSE role END AS role,
+    CASE fate WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM (SELECT *, unnest(range(CASE fate WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) FROM fates)
+),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i,
+    left(role, 1) AS c, trim(text, chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' ') AS bare
+  FROM damaged
+),
+turns AS MATERIALIZED (
+  SELECT conv_id, turn, role, text, i, c, bare = '' AS blank, bare <> '' AND again AS again,
+    bare <> '' AND NOT again AND right(bare, 1) NOT IN ('.', '!', '?') AS cut,
+    i > 1 AND lag(c, 1, '') OVER (PARTITION BY conv_id ORDER BY i) || c NOT IN ('su', 'ua', 'au') AS illegal
+  FROM (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again FROM placed)
+),
+facts AS MATERIALIZED (
+  SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
+    count(*) FILTER (again) AS duplicate, count(*) FILTER (cut) AS truncated, count(*) FILTER (illegal) AS illegal
+  FROM turns GROUP BY conv_id
+),
+-- Cheapest edits of the turns from i on, if an assistant, a user, a system turn or no more than these is due.
+best(conv_id, i, a, u, s, z) AS (
+  SELECT conv_id, n + 1, {{'c': CAST(2 AS BIGINT), 'e': 'I'}}, {{'c': CAST(4 AS BIGINT), 'e': 'II'}}, {{'c': CAST(1000000000 AS BIGINT), 'e': ''}}, {{'c': CAST(0 AS BIGINT), 'e': ''}}
+  FROM facts
+  UNION ALL
+  SELECT conv_id, i, list_min([a, {{'c': z.c + 2, 'e': 'I' || z.e}}, {{'c': u.c + 2, 'e': 'I' || u.e}}]),
+    list_min([u, {{'c': a.c + 2, 'e': 'I' || a.e}}, {{'c': z.c + 4, 'e': 'II' || z.e}}]), s, z
+  FROM (
+    SELECT b.conv_id, t.i,
+      list_min([{{'c': b.a.c + 3, 'e': 'D' || b.a.e}}, {{'c': least(b.z, b.u).c + CASE WHEN blank OR again THEN 1000000000 ELSE 0 END
+        + CASE t.c WHEN 'a' THEN 0 ELSE 2 END + CASE WHEN cut THEN 1 ELSE 0 END, 'e': CASE t.c WHEN 'a' THEN 'K' ELSE 'R' END || least(b.z, b.u).e}}]) AS a,
+      list_min([{{'c': b.u.c + 3, 'e': 'D' || b.u.e}}, {{'c': b.a.c + CASE WHEN blank OR again THEN 1000000000 ELSE 0 END
+        + CASE t.c WHEN 'u' THEN 0 ELSE 2 END + CASE WHEN cut THEN 1 ELSE 0 END, 'e': CASE t.c WHEN 'u' THEN 'K' ELSE 'R' END || b.a.e}}]) AS u,
+      list_min([{{'c': b.s.c + 3, 'e': 'D' || b.s.e}}, {{'c': b.u.c + CASE WHEN blank OR again OR t.c <> 's' THEN 1000000000 ELSE 0 END
+        + CASE WHEN cut THEN 1 ELSE 0 END, 'e': 'K' || b.u.e}}]) AS s,
+      {{'c': b.z.c + 3, 'e': 'D' || b.z.e}} AS z
+    FROM best b JOIN turns t ON t.conv_id IS NOT DISTINCT FROM b.conv_id AND t.i = b.i - 1
+  )
+),
+audits AS MATERIALIZED (SELECT conv_id, list_min([u, s, z]) AS best FROM best WHERE i = 1),
+edits AS (
+  SELECT conv_id, p, substr(best.e, p, 1) AS e FROM (SELECT conv_id, best, unnest(range(1, length(best.e) + 1)) AS p FROM audits)
+),
+counted AS (
+  SELECT *, count(*) FILTER (e <> 'I') OVER w AS i, count(*) FILTER (e <> 'D') OVER w AS o FROM edits WINDOW w AS (PARTITION BY conv_id ORDER BY p)
+),
+made AS (
+  SELECT d.conv_id, p, e, o, role, text, max(CASE WHEN o = 1 AND e = 'K' AND c = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY d.conv_id) AS led
+  FROM counted d LEFT JOIN turns t ON t.conv_id IS NOT DISTINCT FROM d.conv_id AND t.i = d.i AND d.e <> 'I'
+),
+repaired AS (
+  SELECT conv_id, sha256(string_agg(
+    CASE WHEN e = 'K' THEN role WHEN (o - led) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || CASE WHEN e = 'I' THEN '' ELSE text END, chr(10) ORDER BY p
+  )) AS hash FROM made WHERE e <> 'D' GROUP BY conv_id
+)
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(best.c, 0) AS cost, coalesce(best.e, '') AS audit,
+  coalesce(hash, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN facts f ON f.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN audits u ON u.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN repaired r ON r.conv_id IS NOT DISTINCT FROM o.conv_id
 """,
     "op12_spelling_variants": f"""
 WITH RECURSIVE {CRC_TABLE},
@@ -265,7 +350,7 @@ runs AS (
   FROM (SELECT doc_id, unnest(regexp_extract_all(translate(text, '{UPPER}', '{PLAIN}'), '[A-Za-z\\x{{C0}}-\\x{{FF}}]+')) AS run FROM documents)
   WHERE length(run) >= 7 GROUP BY doc_id, run
 ),
-hashed AS (SELECT run, k, {CRC.format("keyed").replace("(SELECT v FROM crc_table)", "v")} AS h FROM (SELECT *, coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run AS keyed FROM runs), crc_table),
+hashed AS (SELECT run, k, {CRC.format("keyed")} AS h FROM (SELECT *, coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run AS keyed FROM runs), crc_table),
 cut AS (SELECT CASE WHEN h % 31 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, k FROM hashed),
 words AS MATERIALIZED (SELECT word, CAST(sum(k) AS BIGINT) AS n FROM cut WHERE length(word) >= 7 GROUP BY word HAVING sum(k) >= 2),
 holes AS MATERIALIZED (
