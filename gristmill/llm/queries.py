@@ -160,6 +160,12 @@ def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
     return spelling.variants(spelling.word_counts(docs, damage=spelling.shorten))[0]
 
 
+def op13_small_world(spark: SparkSession, folder: str) -> DataFrame:
+    from gristmill.llm.smallworld import near_vectors
+
+    return near_vectors(read(spark, folder, "embeddings").select("vec_id", "embedding"))[0]
+
+
 QUERIES = {
     "pipeline": corpus_pipeline.run,
     "op1_language_id": op1_language_id,
@@ -174,6 +180,7 @@ QUERIES = {
     "op10_random_projection_forest": op10_random_projection_forest,
     "op11_conversation_repair": op11_conversation_repair,
     "op12_spelling_variants": op12_spelling_variants,
+    "op13_small_world": op13_small_world,
 }
 
 UPPER, PLAIN = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -376,5 +383,23 @@ steps(word, step) AS (
 ),
 roots AS (SELECT steps.word, step AS root FROM steps JOIN forms ON forms.word = steps.step WHERE forms.form IS NULL)
 SELECT word, form, root, n, n_near, form_n FROM forms JOIN roots USING (word)
+""",
+    "op13_small_world": """
+WITH RECURSIVE vectors AS MATERIALIZED (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+),
+both_ways AS MATERIALIZED (
+  SELECT a.vec_id AS i, b.vec_id AS j FROM vectors a JOIN vectors b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_dot_product(a.v, b.v) >= 0.9 * sqrt(list_dot_product(a.v, a.v)) * sqrt(list_dot_product(b.v, b.v))
+),
+reach(vec_id, other) AS (
+  SELECT i, j FROM both_ways UNION SELECT reach.vec_id, both_ways.j FROM reach JOIN both_ways ON both_ways.i = reach.other
+),
+least_of AS (SELECT vec_id, min(other) AS other FROM reach GROUP BY vec_id),
+counts AS (SELECT i AS vec_id, count(*) AS n FROM both_ways GROUP BY i)
+SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(other, vec_id)) AS component_id,
+  vec_id = least(vec_id, coalesce(other, vec_id)) AS kept
+FROM embeddings LEFT JOIN counts USING (vec_id) LEFT JOIN least_of USING (vec_id)
 """,
 }
