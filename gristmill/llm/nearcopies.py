@@ -8,17 +8,18 @@
    and are left out, and a class with fewer than ``matches`` shared values is done.
 3. Skipping: of its ``s`` shared values a class only needs the ``s - matches + 1`` rarest (the prefix);
    two classes with ``matches`` common values share one of those, so the longest lists are never merged.
-4. Lists are merged around leaders instead of into pairs. A leader is the member of a component with most
-   shared values; it meets the members of all other components in its list. Pairs with enough equal
-   coordinates are confirmed on the full sets and become links, components grow, and a list whose members
-   are all in one component is finished; a leader has met everything it could and leaves the list.
-   In the first round each list has one leader, so a family of near copies falls in with it, in time
-   linear in its size.
+4. Lists are merged around leaders instead of into pairs, in rounds. A list names a leader in its largest
+   component (ties and members by a hash, another one in each round), and each class meets a single leader:
+   the one with the least hash of all its lists name. So neighbourhoods that share many lists gather around
+   few leaders, and a round has at most one pair per class, however large a family of near copies is. Pairs
+   with enough equal coordinates are confirmed on the full sets and become links, components grow, and a list
+   whose members are all in one component is finished. Rounds go on while they pay.
 5. What is still open goes on with the shingles themselves as values: the same prefix rule, now exact.
    Only shingles that occur in several open components count; a class with too few of them for the
    smallest member of its lists can have no partner and leaves, the others are posted under their rarest.
-   These lists are merged around leaders too, ``GROWTH`` times as many in each round, until none is open:
-   nothing is capped, and no pair across components is left unseen.
+   Here a leader, the member of a component with most shared values, meets the members of all other components
+   in its list and leaves it, ``GROWTH`` times as many leaders in each round, until no list is open: nothing is
+   capped, and no pair across components is left unseen.
 """
 
 from __future__ import annotations
@@ -43,6 +44,8 @@ K = 64
 LOSS = 1e-6
 # How many times as many leaders a list may have in each further round.
 GROWTH = 16
+# Rounds of one leader per class go on while this share of their pairs are links.
+PAYS = 0.25
 _SIGNED = "id long, n long, f1 long, f2 long, signature array<int>"
 
 
@@ -119,30 +122,56 @@ def _merge(
     short = F.transform("signature", lambda x: x.bitwiseAND(127).cast("tinyint")).alias("signature")
     signatures = scope.stage(classes.join(active, "rep", "left_semi").select("rep", short), "active")
     sets = scope.stage(_sets_of(rows, classes, signatures.select("rep"), shingle), "sets")
-    limit, tested = 1, None
-    while True:
-        leaders = scope.stage(_leaders(posted, limit), "leaders")
-        pairs = _across(leaders, posted, percent)
-        if limit == 1:
-            pairs = _matching(pairs, signatures, matches)
+    tested: DataFrame | None = None
+
+    def settle(pairs: DataFrame, left: DataFrame) -> tuple[DataFrame, bool]:
+        """The lists that stay open of ``left`` after the new ones of the pairs are confirmed, and whether that paid."""
+        nonlocal tested, labels
         if tested is not None:
             pairs = pairs.join(tested, ["i", "j"], "left_anti")
         pairs = scope.stage(pairs, "pairs")
         tested = pairs if tested is None else tested.unionAll(pairs)
         links = scope.stage(_confirmed(pairs, sets, percent), "confirmed")
-        posted = posted.join(leaders.select("token", "rep"), ["token", "rep"], "left_anti")
-        if not links.isEmpty():
+        many = links.count()
+        if many:
             named = links.join(labels.toDF("i", "ci"), "i").join(labels.toDF("j", "cj"), "j")
             merged = components(named.select(F.col("ci").alias("i"), F.col("cj").alias("j")), scope)
             merged = scope.stage(merged.toDF("component", "to"), "merged")
             labels = scope.stage(_relabelled(labels, merged).select("rep", "component"), "labels")
-            posted = _relabelled(posted, merged).select("token", "rep", "n", "shared", "component")
-        posted = _open(posted, scope)
-        if limit == 1:
-            posted = _open(_exact_lists(posted, sets, percent), scope)
-        if posted.isEmpty():
-            return labels
+            left = _relabelled(left, merged).select("token", "rep", "n", "shared", "component")
+        return _open(left, scope), many > PAYS * pairs.count()
+
+    turn, pays = 0, True
+    while pays and not posted.isEmpty():
+        posted, pays = settle(_matching(_nearest_leader(posted, turn, percent), signatures, matches), posted)
+        turn += 1
+    posted = _open(_exact_lists(posted, sets, percent), scope)
+    limit = 1
+    while not posted.isEmpty():
+        leaders = scope.stage(_leaders(posted, limit), "leaders")
+        left = posted.join(leaders.select("token", "rep"), ["token", "rep"], "left_anti")
+        posted, _ = settle(_across(leaders, posted, percent), left)
         limit *= GROWTH
+    return labels
+
+
+def _nearest_leader(posted: DataFrame, turn: int, percent: int) -> DataFrame:
+    """``(i, j)``: each class with one of the leaders that its lists name, if its own component has not that leader.
+
+    A list's leader is in the component that most of its members are in, so that a large component is met by
+    those outside of it and not the other way round.
+    """
+    draw = F.xxhash64(F.lit(turn), "rep")
+    of = posted.groupBy("token", "component").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct(draw.alias("draw"), "rep", "n")).alias("at"))
+    named = of.groupBy("token").agg(F.max(F.struct("size", (-F.xxhash64(F.lit(turn), "component")).alias("draw"), "component", "at")).alias("best"))
+    leaders = named.select(
+        "token", F.col("best.at.draw").alias("draw"), F.col("best.at.rep").alias("a"), F.col("best.at.n").alias("an"), F.col("best.component").alias("ac")
+    )
+    met = posted.select("token", "rep", "n", "component").join(leaders, "token").filter("component != ac")
+    met = met.filter(F.least("an", "n") * 100 >= F.greatest("an", "n") * percent)
+    one = met.groupBy("rep").agg(F.min(F.struct("draw", "a")).alias("one"))
+    # Two that are each other's leader are one pair.
+    return one.select(F.least("rep", "one.a").alias("i"), F.greatest("rep", "one.a").alias("j")).distinct()
 
 
 def _open(posted: DataFrame, scope: Scope) -> DataFrame:
