@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gristmill.llm.slabs import SLAB_WORDS, ragged, texts
+from gristmill.llm.slabs import SLAB_WORDS, bundled, ragged, texts
 from gristmill.session import Scope
 
 WINDOW = 13
@@ -151,9 +151,11 @@ def decontaminate(
     """The rows of ``docs`` that are not contaminated, all columns unchanged."""
     found, _ = matches(docs, items, id_col, text_col)
     bad = found.filter(contaminated(F.col("n_hit"), F.col("n_words"))).select("id", "print").distinct()
-    marked = docs.withColumn("__print", F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit(""))))
-    own = marked[id_col].cast("long").eqNullSafe(bad["id"]) & (marked["__print"] == bad["print"])
-    return marked.join(bad, own, "left_anti").drop("__print")
+    # Columns of docs travel in one, so that they may bear any name.
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    marked = docs.select(F.col(id_col).cast("long").alias("own_id"), F.xxhash64(text).alias("own_print"), bundled(docs).alias("row"))
+    own = F.col("own_id").eqNullSafe(F.col("id")) & (F.col("own_print") == F.col("print"))
+    return marked.join(bad, own, "left_anti").select(*[F.col("row")[name].alias(name) for name in docs.columns])
 
 
 def proximity_matches(index: DataFrame, of: Phrases, counts: np.ndarray, slop: int) -> DataFrame:

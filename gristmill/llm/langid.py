@@ -6,7 +6,8 @@ and the language with most wins (ties: the larger sum of pair probabilities, the
 the answer. The machines' margins are turned into probabilities by a logistic curve fitted on rows they
 were not trained on.
 
-Only the fitting sees a sample: up to about ``SAMPLE`` rows a language, chosen by a hash of the id.
+Only the fitting sees a sample: up to about ``SAMPLE`` rows a language and ``SAMPLE_ALL`` in all, chosen by a
+hash of the id.
 Prediction reads every whole text, a batch at a time, and shuffles nothing.
 """
 
@@ -25,6 +26,8 @@ from gristmill.llm.slabs import texts
 
 UNKNOWN = "und"
 SAMPLE = 600
+# Labelled rows of all languages together, about; each has its numbers, 20 kB, on the driver.
+SAMPLE_ALL = 6000
 SHORT, LONG = 1024, 4096
 DIMENSIONS = SHORT + LONG
 # Bytes whose n-grams are counted at once.
@@ -168,23 +171,27 @@ def fit(
     text_col: str = "text",
     lang_col: str = "lang",
     sample: int = SAMPLE,
+    sample_all: int = SAMPLE_ALL,
     families: Mapping[str, str] = FAMILIES,
 ) -> LanguageModel:
     """A model of the rows that meet ``training`` and have a language and letters.
 
-    ``sample`` bounds the rows a language in expectation; they are chosen by a hash of the id.
+    ``sample`` bounds the rows a language in expectation, ``sample_all`` those of all languages; they are
+    chosen by a hash of the id. Rows that repeat an id and a text are one.
     """
     rows = docs.filter(training & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     counts = rows.groupBy(F.col(lang_col).alias("lang")).agg(F.count(F.lit(1)).alias("n"))
-    share = counts.select("lang", (F.lit(float(sample)) / F.col("n")).alias("share"))
-    id_, lang = F.col(id_col).cast("string"), F.col(lang_col)
-    place = F.pmod(F.xxhash64(F.lit("langid"), id_), F.lit(1_000_003)) / F.lit(1_000_003.0)
-    # Only ids and languages are joined. What is chosen, about ``sample`` rows a language, is small enough
-    # to be sent to the scan of the texts, which are not shuffled.
-    keys = rows.select(id_.alias("id"), lang.alias("lang"), place.alias("place")).join(share, "lang")
-    keys = F.broadcast(keys.filter("place < share").select("id").distinct())
-    texts_of = rows.select(id_.alias("id"), lang.alias("lang"), F.col(text_col).cast("string").alias("text"))
-    chosen = texts_of.join(keys, "id", "left_semi").select("lang", "text")
+    bound = min(float(sample), sample_all / max(1, counts.count()))
+    share = counts.select("lang", (F.lit(bound) / F.col("n")).alias("share"))
+    id_, lang, text = F.col(id_col).cast("string"), F.col(lang_col), F.col(text_col).cast("string")
+    print_ = F.xxhash64(F.lit("langid"), id_, text)
+    place = F.pmod(print_, F.lit(1_000_003)) / F.lit(1_000_003.0)
+    # Only hashes and languages are joined. What is chosen, a bounded number, is small enough to be sent to
+    # the scan of the texts, which are not shuffled; repeated rows are one before they are.
+    keys = rows.select(print_.alias("print"), lang.alias("lang"), place.alias("place")).join(share, "lang")
+    keys = F.broadcast(keys.filter("place < share").select("print").distinct())
+    texts_of = rows.select(print_.alias("print"), lang.alias("lang"), text.alias("text"))
+    chosen = texts_of.join(keys, "print", "left_semi").groupBy("print", "lang").agg(F.first("text").alias("text")).select("lang", "text")
     found = chosen.mapInArrow(_featured, "lang string, row binary").collect()
     found = sorted((r.lang, bytes(r.row)) for r in found)
     if not found:
@@ -214,19 +221,24 @@ def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text
     ``lang_pred`` is ``und`` with score 0 if the text is null, has no letters, or nothing was learned.
     Rows without or with repeated ids get results of their own.
     """
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("__text"))
-    return _with_predictions(rows, model).drop("__text")
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    return rows.mapInArrow(lambda it: _predicted(it, model), rows.select("id").schema.add("lang_pred", "string").add("score", "double"))
 
 
-def with_language(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score``, which must not be among its columns."""
-    return _with_predictions(docs.withColumn("__text", F.col(text_col).cast("string")), model).drop("__text")
+def language(text: Column, model: LanguageModel) -> Column:
+    """Column ``(lang_pred, score)`` of a text column, as ``identify`` gives them.
 
+    Only the text goes through Python, once, and only the answer comes back; other columns stay in Spark.
+    """
+
+    @F.arrow_udf("lang_pred string, score double")
+    def of(values: pa.Array) -> pa.Array:
+        pieces = texts([pa.RecordBatch.from_arrays([values], ["text"])])
+        found = [pa.StructArray.from_arrays(_answers(part, model), ["lang_pred", "score"]) for _, part in pieces]
+        kind = pa.struct([("lang_pred", pa.string()), ("score", pa.float64())])
+        return pa.concat_arrays(found) if found else pa.array([], kind)
 
-def _with_predictions(rows: DataFrame, model: LanguageModel) -> DataFrame:
-    fields = [f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in rows.schema]
-    schema = ", ".join([*fields, "lang_pred string", "score double"])
-    return rows.mapInArrow(lambda it: _predicted(it, model), schema)
+    return of(text.cast("string"))
 
 
 def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -237,10 +249,13 @@ def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([langs, pa.array([row.tobytes() for row in rows], pa.binary())], ["lang", "row"])
 
 
+def _answers(values: list[bytes], model: LanguageModel) -> list[pa.Array]:
+    names, scores = model.predict(features(values))
+    letters = [has_letter(value) for value in values]
+    names = [name if ok else UNKNOWN for name, ok in zip(names, letters, strict=True)]
+    return [pa.array(names, pa.string()), pa.array(scores * letters, pa.float64())]
+
+
 def _predicted(batches: Iterator[pa.RecordBatch], model: LanguageModel) -> Iterator[pa.RecordBatch]:
-    for piece, values in texts(batches, "__text"):
-        names, scores = model.predict(features(values))
-        letters = [has_letter(value) for value in values]
-        names = [name if ok else UNKNOWN for name, ok in zip(names, letters, strict=True)]
-        added = [pa.array(names, pa.string()), pa.array(scores * letters, pa.float64())]
-        yield pa.RecordBatch.from_arrays([*piece.columns, *added], [*piece.schema.names, "lang_pred", "score"])
+    for piece, values in texts(batches):
+        yield pa.RecordBatch.from_arrays([piece.column(0), *_answers(values, model)], ["id", "lang_pred", "score"])

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gristmill.llm.slabs import texts
+from gristmill.llm.slabs import bundled, texts
 from gristmill.session import Scope
 
 THRESHOLD = 0.6
@@ -212,6 +212,15 @@ def inherit(
 
 
 def scan(files: DataFrame, path_col: str = "path", text_col: str = "text") -> tuple[DataFrame, Scope]:
-    """``match_licences`` and ``inherit`` of ``(path, text)`` files; other columns pass through, the text does not."""
+    """``match_licences`` and ``inherit`` of ``(path, text)`` files.
+
+    Other columns pass through, the text does not; one that bears the name of an added column is replaced.
+    Rows that repeat are rows of their own.
+    """
     scope = Scope(files.sparkSession)
-    return inherit(match_licences(files, text_col), scope, path_col), scope
+    # Columns of the files travel in one, so that they may bear any name.
+    own = files.select(F.col(path_col).alias("path"), F.col(text_col).alias("text"), bundled(files, text_col).alias("row"))
+    found = inherit(match_licences(own), scope)
+    added = ["own_licence", "own_score", "licence", "inherited_from"]
+    passed = [F.col("row")[name].alias(name) for name in files.columns if name not in (text_col, *added)]
+    return found.select(*passed, *added), scope

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import corpus_pipeline
+from gristmill.llm import pipeline
 from gristmill.llm.shipping import ship
 
 
@@ -167,7 +167,7 @@ def op13_small_world(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
-    "pipeline": corpus_pipeline.run,
+    "pipeline": pipeline.run,
     "op1_language_id": op1_language_id,
     "op2_vector_packing": op2_vector_packing,
     "op3_quality": op3_quality,

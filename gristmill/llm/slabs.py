@@ -14,7 +14,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 
 SLAB_WORDS = 1_000_000
 # Words whose hashes a Python worker remembers; the memory is started anew beyond that.
@@ -165,6 +165,15 @@ def identified(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return rows.filter(F.col("id").isNotNull())
 
 
+def bundled(docs: DataFrame, *apart: str) -> Column:
+    """All columns but those ``apart`` as one, so that columns an operator adds can't clash with them."""
+    from pyspark.sql import functions as F
+
+    names = [name for name in docs.columns if name not in apart]
+    quoted = [F.col(f"`{name.replace('`', '``')}`").alias(name) for name in names]
+    return F.struct(*quoted) if quoted else F.struct(F.lit(None).cast("int").alias("none"))
+
+
 def from_bytes(column: pa.ChunkedArray | pa.Array, kind: type) -> np.ndarray:
     """All arrays of a binary column as one."""
     parts = [value for value in column.to_pylist() if value]

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from gristmill.llm.slabs import (
     bucket_count,
+    bundled,
     cut,
     edges,
     from_bytes,
@@ -76,17 +77,24 @@ def remove_repeats(
     any window that occurs earlier are removed; ``kept_text`` is the text itself if nothing was
     removed, else the kept words joined by one space. A null text has no words and stays null; an
     empty table gives an empty result; rows without an id are kept as they are. Other columns pass
-    through, and must not bear the four names.
+    through; one that bears one of the four names is replaced.
     """
     repeats, _ = repeated_windows(docs, id_col, text_col, window)
-    # The join key is a column of its own, so that columns of docs may bear any other name.
-    left = docs.withColumn("__id", F.col(id_col).cast("long"))
-    joined = left.join(repeats.select(F.col("id").alias("__id"), F.col("starts").alias("__starts")), "__id", "left")
-    shape = docs.schema
-    out = joined.withColumn("__text", F.col(text_col).cast("string")).drop("__id")
-    fields = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in shape)
-    schema = f"{fields}{', ' if fields else ''}kept_text string, n_words long, n_removed long, kept_sha256 string"
-    return out.mapInArrow(lambda it: _removed(it, window), schema)
+    # Columns of docs travel in one, so that they may bear any name; the text travels once.
+    left = docs.select(
+        F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"), bundled(docs, text_col).alias("row")
+    )
+    joined = left.join(repeats, "id", "left").select("row", "text", "starts")
+    schema = joined.select("row", "text").schema
+    for name, kind in (("kept_text", "string"), ("n_words", "long"), ("n_removed", "long"), ("kept_sha256", "string")):
+        schema = schema.add(name, kind)
+    out = joined.mapInArrow(lambda it: _removed(it, window), schema)
+    names = [f.name for f in schema.fields[2:]]
+    own = [
+        (F.col("text").cast(docs.schema[name].dataType) if name == text_col else F.col("row")[name]).alias(name)
+        for name in docs.columns if name not in names
+    ]
+    return out.select(*own, *names)
 
 
 def _probe(batches: Iterator[pa.RecordBatch], block: int, buckets: int) -> Iterator[pa.RecordBatch]:
@@ -254,9 +262,9 @@ def _later(key: tuple, table: pa.Table, buckets: int) -> pa.Table:
 
 
 def _removed(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
-    for piece, values in texts(batches, "__text"):
-        starts = piece.column(piece.schema.get_field_index("__starts")).to_pylist()
-        nulls = piece.column(piece.schema.get_field_index("__text")).is_null().to_pylist()
+    for piece, values in texts(batches):
+        starts = piece.column(piece.schema.get_field_index("starts")).to_pylist()
+        nulls = piece.column(piece.schema.get_field_index("text")).is_null().to_pylist()
         kept, counts, removed, digests = [], [], [], []
         for value, parts, null in zip(values, starts, nulls, strict=True):
             words = value.split()
@@ -274,8 +282,7 @@ def _removed(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Reco
             counts.append(len(words))
             removed.append(n)
             digests.append(hashlib.sha256(joined).hexdigest())
-        columns = {name: piece.column(i) for i, name in enumerate(piece.schema.names) if name not in ("__text", "__starts")}
-        columns |= {
+        columns = {name: piece.column(piece.schema.get_field_index(name)) for name in ("row", "text")} | {
             "kept_text": pa.array(kept, pa.string()),
             "n_words": pa.array(counts, pa.int64()),
             "n_removed": pa.array(removed, pa.int64()),

@@ -52,7 +52,7 @@ def test_held_out_accuracy(spark, model):
 def test_texts_without_letters_and_extra_columns(spark, model):
     rows = [(1, None, 1), (2, "", 2), (3, "12 !? \n", 3), (None, "den der lung heit", 4), (4, "漢字", 5), (4, "x" * 3_000_000, 6)]
     df = spark.createDataFrame(rows, "doc_id long, text string, id int")
-    found = {r.id: (r.lang_pred, r.score) for r in langid.with_language(df, model).drop("doc_id").collect()}
+    found = {r.id: (r.lang_pred, r.score) for r in df.select("id", langid.language(F.col("text"), model).alias("of")).select("id", "of.*").collect()}
     assert [found[k] for k in (1, 2, 3)] == [("und", 0.0)] * 3
     assert found[4][0] == "de" and found[5][0] != "und" and found[6][0] != "und"
 
@@ -71,3 +71,14 @@ def test_long_texts_are_counted_whole(monkeypatch):
     whole = langid.features(values)
     monkeypatch.setattr(langid, "CHUNK", 17)
     assert np.allclose(langid.features(values), whole)
+
+
+def test_sample_is_bounded_over_all_languages(spark, monkeypatch):
+    """A thousand languages, and one id that many rows share, stay within the bound of the sample."""
+    seen = []
+    fitted = langid.fit_softmax
+    monkeypatch.setattr(langid, "fit_softmax", lambda rows, *a: seen.append(len(rows)) or fitted(rows[:, :64].repeat(80, axis=1), *a)[:langid.DIMENSIONS + 1])
+    monkeypatch.setattr(langid, "fit_machine", lambda *a: (np.zeros(langid.DIMENSIONS + 1), 1.0, 0.0))
+    rows = [(7, f"word{i} text", f"l{i % 100}") for i in range(4000)] + [(8, "one text again", "l1")] * 500
+    langid.fit(spark.createDataFrame(rows, SCHEMA), F.lit(True), sample=50, sample_all=300, families={})
+    assert 150 < seen[0] < 500

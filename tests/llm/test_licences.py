@@ -86,3 +86,11 @@ def test_every_wording_is_found_in_a_file(spark, name):
 
 def test_empty_table(spark):
     assert scan(spark.createDataFrame([], SCHEMA))[0].count() == 0
+
+
+def test_columns_of_any_name_and_repeated_rows(spark):
+    rows = [("a/LICENSE", "SPDX-License-Identifier: MIT", "x", 1, "d"), ("a/b", "plain", "y", 2, "e"), ("a/b", "plain", "y", 2, "e")]
+    files = spark.createDataFrame(rows, "path string, text string, own_licence string, __dir int, licence string")
+    found, _ = scan(files)
+    assert found.columns == ["path", "__dir", "own_licence", "own_score", "licence", "inherited_from"]
+    assert sorted((r.path, r["__dir"]) for r in found.collect()) == [("a/LICENSE", 1), ("a/b", 2), ("a/b", 2)]

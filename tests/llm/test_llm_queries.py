@@ -10,8 +10,8 @@ import pandas as pd
 import pytest
 from oracle import compare, connect
 
-import corpus_pipeline
 from __spark_entry__ import oracle_sql, queries
+from gristmill.llm import pipeline
 from gristmill.llm.queries import QUERIES, SQL
 
 DATA = "/root/testdata/sf0.001"
@@ -34,7 +34,7 @@ def result(spark, name):
 def test_all_are_registered():
     assert set(QUERIES) <= set(queries()) and set(SQL) <= set(oracle_sql())
     assert {int(name[2:].split("_")[0]) for name in QUERIES if name.startswith("op")} == set(range(1, 14))
-    assert [name for name, _ in corpus_pipeline.STAGES] == ["language_id", "near_dedup", "substring_dedup", "decontamination", "packing"]
+    assert [name for name, _ in pipeline.STAGES] == ["language_id", "near_dedup", "substring_dedup", "decontamination", "packing"]
 
 
 @pytest.mark.parametrize("name", list(SQL))

@@ -9,7 +9,7 @@ import test_nearcopies
 import test_packing
 import test_substrings
 
-import corpus_pipeline
+from gristmill.llm import pipeline
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -65,7 +65,7 @@ def test_run_matches_brute_force(spark, tmp_path):
     write(spark, tmp_path, rows, items)
     kept = expected(rows, items)
     assert 30 < len(kept) < len(rows) - 15
-    pieces = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    pieces = pipeline.run(spark, str(tmp_path)).collect()
     test_packing.check(kept, pieces)
 
 
@@ -73,16 +73,49 @@ def test_stages_keep_the_columns(spark, tmp_path):
     rows, items = tables()
     write(spark, tmp_path, rows[:20], items)
     docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
-    for name, stage in corpus_pipeline.STAGES[:-1]:
+    for name, stage in pipeline.STAGES[:-1]:
         assert stage(spark, docs, str(tmp_path)).dtypes == docs.dtypes, name
 
 
 def test_empty_documents(spark, tmp_path):
     write(spark, tmp_path, [], [(1, "a b c")])
-    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+    assert pipeline.run(spark, str(tmp_path)).count() == 0
 
 
 def test_documents_stay_if_no_language_can_be_learned(spark):
     rows = [(i, text, None, "s", 0) for i, text in enumerate(["some words", None, "", "12 34 !!", "\u00e9t\u00e9"])]
-    kept = corpus_pipeline.language_id(spark, spark.createDataFrame(rows, SCHEMA), "")
+    kept = pipeline.language_id(spark, spark.createDataFrame(rows, SCHEMA), "")
     assert sorted(r.doc_id for r in kept.collect()) == [0, 4]
+
+
+def test_columns_of_any_name_pass(spark, tmp_path):
+    rows, items = tables()
+    names = "score double, lang_pred string, kept_text string, n_removed long, __text string, __id long, row int, own_print long"
+    wider = [(*r, 0.5, "x", "y", 7, "z", 8, 9, 10) for r in rows]
+    spark.createDataFrame(wider, f"{SCHEMA}, {names}").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for name, stage in pipeline.STAGES[:-1]:
+        found = stage(spark, docs, str(tmp_path))
+        assert found.dtypes == docs.dtypes, name
+        assert {tuple(r)[5:] for r in found.collect()} == {(0.5, "x", "y", 7, "z", 8, 9, 10)}
+    test_packing.check(expected(rows, items), pipeline.run(spark, str(tmp_path)).collect())
+
+
+def test_repeated_rows_leave_one(spark, tmp_path):
+    rows, items = tables()
+    write(spark, tmp_path, rows * 2, items)
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    alone = spark.createDataFrame(rows, SCHEMA)
+    twice = sorted(tuple(r) for r in pipeline.near_dedup(spark, docs.filter("text is not null"), "").collect())
+    once = sorted(tuple(r) for r in pipeline.near_dedup(spark, alone.filter("text is not null"), "").collect())
+    assert twice == once
+    test_packing.check(expected(rows, items), pipeline.run(spark, str(tmp_path)).collect())
+
+
+def test_the_identified_language_takes_effect(spark, tmp_path):
+    rows = [(i, " ".join(["the house and the garden", "le jardin et la maison"][i % 2].split()[k:] * 3), ["en", "fr"][i % 2], "s", 0) for k in range(3) for i in range(k * 40, k * 40 + 40)]
+    rows += [(500, "the garden and the house", None, "s", 0), (501, "la maison et le jardin", "xx", "s", 0)]
+    found = {r.doc_id: r.lang for r in pipeline.language_id(spark, spark.createDataFrame(rows, SCHEMA), "").collect()}
+    assert found[500] == "en" and len(found) == len(rows)
+    assert sum(found[r[0]] == r[2] for r in rows) >= 118

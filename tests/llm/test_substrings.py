@@ -72,3 +72,12 @@ def test_rows_without_id_and_extra_columns(spark):
 def test_empty_table(spark):
     assert remove_repeats(spark.createDataFrame([], SCHEMA)).count() == 0
 
+
+
+def test_columns_of_any_name(spark):
+    text = " ".join(f"w{k}" for k in range(40))
+    rows = [(1, text, 5, "a", 6), (2, text + " tail", 7, "b", 8)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, n_removed int, `odd name` string, __id int")
+    found = {r.doc_id: r for r in remove_repeats(df).collect()}
+    assert (found[1].n_removed, found[2].n_removed, found[2].kept_text) == (0, 40, "tail")
+    assert (found[2]["odd name"], found[2]["__id"], found[2].text) == ("b", 8, text + " tail")
