@@ -1,77 +1,7 @@
-"""The corpus pipeline: operators of gristmill.llm as stages over documents.
-
-Each stage takes ``(spark, docs, sf_dir)`` and returns the documents it keeps; between stages the
-documents are written as Parquet to the shared folder and read again, so a lost executor costs a stage
-at most, and each stage sees the counts and files of the one before. Rows without an id pass the stages
-that work by id unchanged.
-"""
+"""The corpus pipeline, as the driver runs it: see ``gristmill.llm.pipeline``."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from gristmill.llm import decontam, langid, nearcopies, packing, substrings
-from gristmill.llm.shipping import ship
-from gristmill.session import Scope
-
-
-def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told; those without text or letters are rejected, and no others."""
-    fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3
-    model = langid.fit(docs, fold != 1)
-    kept = docs.filter(F.col("text").isNotNull())
-    if not model.families:
-        # Nothing could be learned: the text alone decides.
-        return kept.filter(F.col("text").rlike(r"\p{L}"))
-    found = langid.with_language(kept, model)
-    return found.filter(F.col("lang_pred") != langid.UNKNOWN).select(*docs.columns)
-
-
-def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the one with the smallest id, of each group of near copies (five-word shingles, 0.8)."""
-    found, _ = nearcopies.near_copies(docs.select("doc_id", "text"))
-    gone = found.filter(~F.col("kept")).select(F.col("id").alias("doc_id")).distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-
-
-def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the words of windows that occur earlier; a text that changes has a new length."""
-    found = substrings.remove_repeats(docs)
-    n_chars = F.when(F.col("n_removed") > 0, F.length("kept_text").cast("long")).otherwise(F.col("n_chars"))
-    changed = {"text": F.col("kept_text"), "n_chars": n_chars}
-    return found.select(*[changed.get(name, F.col(name)).alias(name) for name in docs.columns])
-
-
-def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are not contaminated by the benchmark."""
-    return decontam.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-
-
-def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents in sequences of at most 2048 tokens."""
-    import public_tokenizers
-
-    return packing.pack_texts(docs.select("doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"))
-
-
-STAGES = [
-    ("language_id", language_id),
-    ("near_dedup", near_dedup),
-    ("substring_dedup", substring_dedup),
-    ("decontamination", decontamination),
-    ("packing", pack),
-]
-
-# Learned languages, signatures and packing are not SQL; tests hold the stages against brute force.
-ORACLE_SQL = None
-
+from gristmill.llm.pipeline import ORACLE_SQL, STAGES, run
 
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; every stage but the last is written and read again."""
-    ship(spark)
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    scope = Scope(spark)
-    for name, stage in STAGES[:-1]:
-        docs = scope.stage(stage(spark, docs, sf_dir), name)
-    return STAGES[-1][1](spark, docs, sf_dir)
+__all__ = ["ORACLE_SQL", "STAGES", "run"]
