@@ -238,7 +238,8 @@ def language(text: Column, model: LanguageModel) -> Column:
         kind = pa.struct([("lang_pred", pa.string()), ("score", pa.float64())])
         return pa.concat_arrays(found) if found else pa.array([], kind)
 
-    return of(text.cast("string"))
+    # Spark evaluates it once, also if it is both filtered by and selected.
+    return of.asNondeterministic()(text.cast("string"))
 
 
 def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -23,6 +23,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Those without text or letters are rejected, and no others. If no language can be learned (none is given),
     the documents with letters stay with their ``lang``.
     """
+    ship(spark)
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3
     model = langid.fit(docs, fold != 1)
     kept = docs.filter(F.col("text").isNotNull())
@@ -40,6 +41,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Rows that repeat an id and a text are one document, of which one row stays.
     """
+    ship(spark)
     scope = Scope(spark)
     found, _ = nearcopies.near_copies(docs.select("doc_id", "text"))
     ids = found.groupBy("id").agg(F.bool_or("kept").alias("stays"), F.count(F.lit(1)).alias("rows"))
@@ -54,6 +56,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the words of windows that occur earlier; a text that changes has a new length."""
+    ship(spark)
     found = substrings.remove_repeats(docs.select("doc_id", "text", bundled(docs, "text").alias("row")))
     changed = {"text": F.col("kept_text")}
     if "n_chars" in docs.columns:
@@ -64,11 +67,13 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not contaminated by the benchmark."""
+    ship(spark)
     return decontam.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents in sequences of at most 2048 tokens."""
+    ship(spark)
     import public_tokenizers
 
     return packing.pack_texts(docs.select("doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"))
@@ -88,7 +93,6 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; every stage but the last is written and read again."""
-    ship(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     scope = Scope(spark)
     for name, stage in STAGES[:-1]:

@@ -13,13 +13,19 @@ import gristmill
 
 _shipped: set[str] = set()
 
+# Whole texts are long: a batch between Spark and Python carries this many bytes, unless the session says otherwise.
+BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_DEFAULT, BATCH_BYTES = "67108864b", "8m"
+
 
 def ship(spark: SparkSession) -> None:
-    """Send the package to the executors unless their Python finds it by itself.
+    """Set the session up: small batches, and the package on the executors unless their Python finds it by itself.
 
     It does if the driver's PYTHONPATH or working folder has it, which workers inherit; a job that was
     submitted with the package as ``--py-files`` has it on the path as well.
     """
+    if spark.conf.get(BATCH, None) == BATCH_DEFAULT:
+        spark.conf.set(BATCH, BATCH_BYTES)
     root = Path(gristmill.__file__).resolve().parent.parent
     known = [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)]
     app = spark.sparkContext.applicationId
