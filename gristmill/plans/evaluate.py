@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field, replace
 from functools import reduce
@@ -28,6 +29,8 @@ from gristmill.session import Scope, owned_by, stage
 
 BAR_CELLS = 20
 
+log = logging.getLogger(__name__)
+
 
 @dataclass(frozen=True)
 class EvaluationOptions:
@@ -38,8 +41,10 @@ class EvaluationOptions:
     seed: int = 42
     stop_words: Sequence[str] | None = None
     strict_dates: bool = False
-    # Counting the similar pairs verifies each pair of near-copies; removal does not need it.
+    # Counting the similar pairs verifies those that are not certain; removal does not need it.
     count_pairs: bool = True
+    # Without it nothing is judged, whatever the spec says.
+    run_judge: bool = True
 
 
 @dataclass(frozen=True)
@@ -147,7 +152,9 @@ def _evaluated(
         metric(diversity, "diversity", F.col("metric"), F.col("item"), F.col("value")),
     ]
 
-    judge = spec.get("judge")
+    judge = spec.get("judge") if options.run_judge else None
+    if judge and score is None and responses is None:
+        log.warning("%s has a judge block but neither a score function nor responses: nothing is judged", spec["name"])
     scores = None
     if judge and (score is not None or responses is not None):
         dimensions = judge["dimensions"]

@@ -10,18 +10,18 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def all_queries() -> dict[str, Query]:
-    from gristmill.queries import generation, judging, linked, records, texts
+    from gristmill.queries import files, generation, judging, linked, records, texts
 
     found: dict[str, Query] = {}
-    for module in (records, texts, judging, generation, linked):
+    for module in (records, texts, judging, generation, linked, files):
         found.update(module.QUERIES)
     return found
 
 
 def all_sql() -> dict[str, str]:
-    from gristmill.queries import generation, judging, linked, records, texts
+    from gristmill.queries import files, generation, judging, linked, records, texts
 
     found: dict[str, str] = {}
-    for module in (records, texts, judging, generation, linked):
+    for module in (records, texts, judging, generation, linked, files):
         found.update(module.SQL)
     return found

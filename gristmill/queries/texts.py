@@ -10,9 +10,9 @@ from gristmill.operators import diversity
 from gristmill.operators.neardup import copy_groups, dedupe, near_duplicate_count, near_duplicates
 from gristmill.operators.tfidf import tfidf
 from gristmill.plans.evaluate import evaluate, quality_report
-from gristmill.queries import sql
+from gristmill.queries import judging, sql
 from gristmill.queries.records import VALID
-from gristmill.queries.tables import DOCUMENT_SPEC, documents, labelled_documents
+from gristmill.queries.tables import DOCUMENT_SPEC, JUDGE_DIMENSIONS, documents, labelled_documents
 
 LABELS = ["lang", "quality", "toxic"]
 
@@ -78,6 +78,11 @@ def evaluate_summary(spark: SparkSession, folder: str) -> DataFrame:
     return evaluate(documents(spark, folder), DOCUMENT_SPEC, "doc_id").metrics
 
 
+def evaluate_judged(spark: SparkSession, folder: str) -> DataFrame:
+    """Full evaluation with responses of the judge for every clean document; its verdict can fail."""
+    return evaluate(documents(spark, folder), DOCUMENT_SPEC, "doc_id", responses=judging.judge_responses(spark, folder)).metrics
+
+
 def quality_report_rows(spark: SparkSession, folder: str) -> DataFrame:
     result = evaluate(documents(spark, folder), DOCUMENT_SPEC, "doc_id")
     return quality_report(result, DOCUMENT_SPEC, "doc_id")
@@ -97,6 +102,7 @@ QUERIES = {
     "label_balance": label_balance,
     "diversity_report": diversity_report,
     "evaluate_summary": evaluate_summary,
+    "evaluate_judged": evaluate_judged,
     "quality_report": quality_report_rows,
 }
 
@@ -113,7 +119,7 @@ def _labels(select: str) -> str:
     return f"WITH {_LABELLED}, counts AS ({parts}) {select}"
 
 
-def _evaluation(report: bool) -> str:
+def _evaluation(report: bool, judged: bool = False) -> str:
     fields = list(DOCUMENT_SPEC["fields"])
     cells = "round_even(greatest(0, least(1, {0})) * 20, 0)"
     drawn = "repeat('█', CAST({c} AS INTEGER)) || repeat('░', CAST(20 - {c} AS INTEGER))"
@@ -136,6 +142,11 @@ def _evaluation(report: bool) -> str:
         "SELECT 'diversity', metric, item, value, NULL FROM diversity",
         "SELECT 'verdict', 'verdict', NULL, CAST(NULL AS DOUBLE), 'PASS'",
     ]
+    if judged:
+        parts[-1] = one.format("judge", "judged", "SELECT judged FROM means")
+        parts += [f"SELECT 'judge', 'mean', '{d}', {d}, NULL FROM means" for d in JUDGE_DIMENSIONS]
+        parts += [one.format("judge", name, f"SELECT {name} FROM means") for name in ("overall_mean", "flagged")]
+        parts.append(f"SELECT 'verdict', 'verdict', NULL, CAST(NULL AS DOUBLE), {judging.VERDICT} FROM means")
     select = "SELECT section, metric, item, value, detail FROM metrics"
     if report:
         share = "CASE WHEN metric = 'coverage' THEN value ELSE value / sum(value) OVER (PARTITION BY metric) END"
@@ -152,6 +163,7 @@ def _evaluation(report: bool) -> str:
     filled AS (SELECT id, text FROM clean WHERE NOT {sql.blank('text')}),
     {sql.vectors('filled', 'cvec')},
     diversity AS ({sql.diversity('clean', 'cvec', DOCUMENT_SPEC['label_fields'])}),
+    means AS ({judging.means(f"SELECT * FROM ({judging.SCORES}) WHERE doc_id IN (SELECT id FROM clean)")}),
     metrics AS ({' UNION ALL '.join(parts)})
     {select}"""
 
@@ -195,5 +207,6 @@ SQL = {
     "diversity_report": f"""
       WITH {_LABELLED}, {_FILLED}, {sql.vectors('filled')} {sql.diversity('src', 'vec', LABELS)}""",
     "evaluate_summary": _evaluation(report=False),
+    "evaluate_judged": _evaluation(report=False, judged=True),
     "quality_report": _evaluation(report=True),
 }
