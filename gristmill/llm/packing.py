@@ -17,6 +17,7 @@ import os
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from heapq import heappop, heappush
 from itertools import chain
 
 import numpy as np
@@ -88,23 +89,65 @@ def pack_examples(
     return rows.mapInArrow(lambda it: _pack_examples(it, limits), "id long, sequence_id long, offset long")
 
 
+class Demands:
+    """Open rows by their demands: rows that ask for the same are one *kind*, so work goes with the kinds."""
+
+    def __init__(self, demands: np.ndarray, capacity: np.ndarray, open_rows: np.ndarray | None = None) -> None:
+        self.capacity = capacity.astype(np.float64)
+        at = np.arange(len(demands)) if open_rows is None else np.flatnonzero(open_rows)
+        self.kinds, kind = np.unique(demands[at].astype(np.float64), axis=0, return_inverse=True)
+        order = np.argsort(kind.ravel(), kind="stable")
+        self.left = np.bincount(kind.ravel(), minlength=len(self.kinds))
+        # The rows of a kind in order, which is a heap.
+        self.rows = [part.tolist() for part in np.split(at[order], np.cumsum(self.left)[:-1])]
+        self.size = len(at)
+
+    def take(self, kind: int, many: int = 1) -> list[int]:
+        """The first rows of a kind."""
+        self.left[kind] -= many
+        self.size -= many
+        return [heappop(self.rows[kind]) for _ in range(many)]
+
+    def put(self, row: int, demand: np.ndarray) -> None:
+        """A row that is open with a new demand."""
+        found = np.flatnonzero((self.kinds == demand).all(axis=1))
+        if len(found):
+            heappush(self.rows[int(found[0])], row)
+            self.left[found[0]] += 1
+        else:
+            self.kinds = np.vstack([self.kinds, demand])
+            self.left = np.append(self.left, 1)
+            self.rows.append([row])
+        self.size += 1
+
+    def fill(self) -> list[int]:
+        """Takes the rows that go into one bin, in order; ties go to the earlier row."""
+        room = self.capacity.copy()
+        chosen: list[int] = []
+        fits = (self.left > 0) & (self.kinds <= room).all(axis=1)
+        while fits.any():
+            at = np.flatnonzero(fits)
+            kind, many = int(at[0]), 1
+            if len(at) == 1:
+                # Nothing else competes: as many as there is room for.
+                asked = self.kinds[kind] > 0
+                many = int(min([self.left[kind], *(room[asked] // self.kinds[kind][asked])]))
+            else:
+                scores = (self.kinds[at] / self.capacity) @ (room / self.capacity)
+                tied = at[scores == scores.max()].tolist()
+                kind = min(tied, key=lambda k: self.rows[k][0])
+            chosen += self.take(kind, many)
+            room -= many * self.kinds[kind]
+            fits &= (self.left > 0) & (self.kinds <= room).all(axis=1)
+        return chosen
+
+
 def fill_bin(demands: np.ndarray, capacity: np.ndarray, open_rows: np.ndarray) -> list[int]:
     """Rows of ``demands`` that go into one bin, in order; ``open_rows`` marks those not yet placed.
 
     Ties go to the earlier row.
     """
-    left = capacity.astype(np.float64).copy()
-    share = demands / capacity
-    chosen: list[int] = []
-    fits = open_rows & (demands <= left).all(axis=1)
-    while fits.any():
-        at = np.flatnonzero(fits)
-        best = int(at[np.argmax(share[at] @ (left / capacity))])
-        chosen.append(best)
-        left -= demands[best]
-        fits[best] = False
-        fits &= (demands <= left).all(axis=1)
-    return chosen
+    return Demands(demands, capacity, open_rows).fill()
 
 
 def powers_of_two(n: int) -> list[int]:
@@ -299,27 +342,26 @@ class _Packer:
         capacity = np.array([self.limits.tokens, self.limits.segments, self.limits.loss], np.float64)
         lens = np.array([rest[3] for rest in self.rests], np.float64)
         # All ids of a text bear loss.
-        demands = np.stack([lens, np.ones(len(lens)), lens], axis=1)
-        open_rows = np.ones(len(lens), bool)
-        while open_rows.any() and (last or demands[open_rows, 0].sum() >= limit):
-            chosen = fill_bin(demands, capacity, open_rows)
-            pieces = []
-            for k in chosen:
-                pieces.append(tuple(self.rests[k]))
-                open_rows[k] = False
-            left = limit - int(demands[chosen, 0].sum())
-            if left and len(chosen) < self.limits.segments and open_rows.any():
+        pool = Demands(np.stack([lens, np.ones(len(lens)), lens], axis=1), capacity)
+        tokens = self.tokens
+        while pool.size and (last or tokens >= limit):
+            chosen = pool.fill()
+            pieces = [tuple(self.rests[k]) for k in chosen]
+            left = limit - sum(piece[3] for piece in pieces)
+            if left and len(chosen) < self.limits.segments and pool.size:
                 # Nothing fits any more: the head of the longest rest fills the bin.
-                k = int(np.argmax(np.where(open_rows, demands[:, 0], -1)))
-                cut = min(left, int(demands[k, 0]) - 1) if demands[k, 0] > left else int(demands[k, 0])
+                kind = int(np.argmax(np.where(pool.left > 0, pool.kinds[:, 0], -1)))
+                k = pool.take(kind)[0]
                 id_, ids, start, length = self.rests[k]
+                cut = min(left, length)
                 pieces.append((id_, ids, start, cut))
-                self.rests[k] = [id_, ids, start + cut, length - cut]
-                demands[k, [0, 2]] = length - cut
-                open_rows[k] = length > cut
+                if cut < length:
+                    self.rests[k] = [id_, ids, start + cut, length - cut]
+                    pool.put(k, np.array([length - cut, 1, length - cut], np.float64))
+            tokens -= sum(piece[3] for piece in pieces)
             self._dealt(pieces)
-        self.rests = [rest for rest, is_open in zip(self.rests, open_rows.tolist(), strict=True) if is_open]
-        self.tokens = sum(rest[3] for rest in self.rests)
+        self.rests = [self.rests[k] for k in sorted(chain.from_iterable(pool.rows))]
+        self.tokens = tokens
 
     def flushed(self) -> pa.RecordBatch:
         columns = list(zip(*self.rows, strict=True)) or [[] for _ in range(8)]
@@ -354,14 +396,14 @@ def _pack_examples(batches: Iterator[pa.RecordBatch], limits: Limits) -> Iterato
         ids = batch.column(0).to_pylist()
         tokens, loss = batch.column(1).to_numpy(), batch.column(2).to_numpy()
         demands = np.stack([tokens, np.ones(len(ids)), loss], axis=1).astype(np.float64)
-        open_rows = (demands <= capacity).all(axis=1)
-        placed: list[tuple] = [(ids[k], None, None) for k in np.flatnonzero(~open_rows)]
-        while open_rows.any():
+        fitting = (demands <= capacity).all(axis=1)
+        placed: list[tuple] = [(ids[k], None, None) for k in np.flatnonzero(~fitting)]
+        pool = Demands(demands, capacity, fitting)
+        while pool.size:
             offset = 0
-            for k in fill_bin(demands, capacity, open_rows):
+            for k in pool.fill():
                 placed.append((ids[k], sequence, offset))
                 offset += int(tokens[k])
-                open_rows[k] = False
             sequence += 1
         columns = list(zip(*placed, strict=True)) or [[], [], []]
         yield pa.RecordBatch.from_arrays(

@@ -10,8 +10,9 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
-from gristmill.llm.packing import Limits, WordTokens, fill_bin, pack_examples, pack_texts, powers_of_two, tokenized
+from gristmill.llm.packing import Demands, Limits, WordTokens, fill_bin, pack_examples, pack_texts, powers_of_two, tokenized
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 SCHEMA = "doc_id long, text string"
@@ -122,3 +123,37 @@ def test_dot_product_prefers_what_is_plenty():
     demands = np.array([[8.0, 1.0], [1.0, 8.0], [4.0, 4.0]])
     assert fill_bin(demands, np.array([20.0, 9.0]), np.ones(3, bool))[0] == 1
     assert powers_of_two(1500) == [1024, 256, 128, 64, 16, 8, 4]
+
+
+def greedy(demands, capacity):
+    """The rows of each bin by looking at every open row again and again."""
+    still, bins = list(range(len(demands))), []
+    while still:
+        room, chosen = capacity.copy(), []
+        while fits := [k for k in still if (demands[k] <= room).all()]:
+            best = max(fits, key=lambda k: ((demands[k] / capacity) @ (room / capacity), -k))
+            chosen.append(best)
+            still.remove(best)
+            room = room - demands[best]
+        bins.append(chosen)
+    return bins
+
+
+def test_kinds_of_demands_fill_the_same_bins():
+    draw = random.Random(3)
+    capacity = np.array([64.0, 8.0, 32.0])
+    for most in (2, 16, 32):
+        demands = np.array([[draw.randint(1, most), 1, draw.randint(0, most)] for _ in range(90)], np.float64)
+        pool, bins = Demands(demands, capacity), []
+        while pool.size:
+            bins.append(pool.fill())
+        assert bins == greedy(demands, capacity)
+
+
+def test_many_short_texts_in_one_task(spark):
+    rows = spark.range(200_000, numPartitions=1).selectExpr("id AS doc_id", "if(id % 3 = 0, 'a', '') AS text")
+    found = pack_texts(rows, PATH)
+    by = found.groupBy("sequence_id").agg(F.sum("length").alias("n"), F.count("*").alias("pieces"))
+    total = by.agg(F.sum("n"), F.max("pieces"), F.sum(F.expr("n & (n - 1)"))).first()
+    assert tuple(total) == (266_667, 256, 0)
+    assert found.select("doc_id").distinct().count() == 200_000
