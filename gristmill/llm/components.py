@@ -14,23 +14,31 @@ def components(links: DataFrame, scope: Scope) -> DataFrame:
     A round hangs every node below the smallest node it knows, first from its larger neighbours, then
     from its smaller ones; after a number of rounds that grows with the logarithm of the longest path
     the links are stars. Every step is a minimum per node, combined before the shuffle, and a join.
-    The driver sees one count and one checksum a round.
+    The driver sees one count a round.
     """
+    edges = stars(links, scope)
+    found = edges.select(F.col("u").alias("id"), F.col("v").alias("component"))
+    roots = edges.select("v").distinct().select(F.col("v").alias("id"), F.col("v").alias("component"))
+    return found.unionAll(roots)
+
+
+def stars(links: DataFrame, scope: Scope) -> DataFrame:
+    """``(u, v)``, staged: every id of ``links`` that is not its component's smallest, with the smallest."""
     edges = scope.stage(
         links.select(F.greatest("i", "j").alias("u"), F.least("i", "j").alias("v")).filter("u > v").distinct(), "links"
     )
-    before = None
-    while before != (now := _state(edges)):
-        before = now
+    while True:
         edges = scope.stage(_small_star(_large_star(edges)), "links")
-    found = edges.select(F.col("u").alias("id"), F.col("v").alias("component"))
-    roots = edges.select("v").distinct().select(F.col("v").alias("id"), F.col("v").alias("component"))
-    return found.unionAll(roots)
+        if not _unsettled(edges):
+            return edges
 
 
-def _state(edges: DataFrame) -> tuple:
-    sums = F.coalesce(F.sum(F.xxhash64("u", "v").cast("decimal(38, 0)")), F.lit(0))
-    return tuple(edges.agg(F.count(F.lit(1)), sums).first())
+def _unsettled(edges: DataFrame) -> int:
+    """How many nodes hang below two others, or below one and above another."""
+    hung = edges.select(F.col("u").alias("id"), F.lit(1).alias("below"), F.lit(0).alias("above"))
+    ends = hung.unionAll(edges.select(F.col("v").alias("id"), F.lit(0).alias("below"), F.lit(1).alias("above")))
+    of = ends.groupBy("id").agg(F.sum("below").alias("below"), F.max("above").alias("above"))
+    return of.filter("below > 1 OR below > 0 AND above > 0").count()
 
 
 def _large_star(edges: DataFrame) -> DataFrame:

@@ -18,8 +18,8 @@
    Only shingles that occur in several open components count; a class with too few of them for the
    smallest member of its lists can have no partner and leaves, the others are posted under their rarest.
    Here a leader, the member of a component with most shared values, meets the members of all other components
-   in its list and leaves it, ``GROWTH`` times as many leaders in each round, until no list is open: nothing is
-   capped, and no pair across components is left unseen.
+   in its list and leaves it, ``GROWTH`` times as many leaders in each round (beyond ``ALONE`` several of one
+   component), until no list is open: nothing is capped, and no pair across components is left unseen.
 """
 
 from __future__ import annotations
@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from gristmill.llm.components import components
+from gristmill.llm.components import components, stars
 from gristmill.llm.slabs import identified, mix, rolling, slabs
 from gristmill.session import Scope
 
@@ -44,6 +44,9 @@ K = 64
 LOSS = 1e-6
 # How many times as many leaders a list may have in each further round.
 GROWTH = 16
+# Up to that many leaders each is of another component; then components may name several, so that two large
+# ones in a list take a few rounds more and not one per member.
+ALONE = 256
 # Rounds of one leader per class go on while this share of their pairs are links.
 PAYS = 0.25
 _SIGNED = "id long, n long, f1 long, f2 long, signature array<int>"
@@ -135,8 +138,7 @@ def _merge(
         many = links.count()
         if many:
             named = links.join(labels.toDF("i", "ci"), "i").join(labels.toDF("j", "cj"), "j")
-            merged = components(named.select(F.col("ci").alias("i"), F.col("cj").alias("j")), scope)
-            merged = scope.stage(merged.toDF("component", "to"), "merged")
+            merged = stars(named.select(F.col("ci").alias("i"), F.col("cj").alias("j")), scope).toDF("component", "to")
             labels = scope.stage(_relabelled(labels, merged).select("rep", "component"), "labels")
             left = _relabelled(left, merged).select("token", "rep", "n", "shared", "component")
         return _open(left, scope), many > PAYS * pairs.count()
@@ -148,7 +150,7 @@ def _merge(
     posted = _open(_exact_lists(posted, sets, percent), scope)
     limit = 1
     while not posted.isEmpty():
-        leaders = scope.stage(_leaders(posted, limit), "leaders")
+        leaders = scope.stage(_leaders(posted, limit, max(1, limit // ALONE)), "leaders")
         left = posted.join(leaders.select("token", "rep"), ["token", "rep"], "left_anti")
         posted, _ = settle(_across(leaders, posted, percent), left)
         limit *= GROWTH
@@ -211,15 +213,20 @@ def _exact_lists(posted: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return exploded.select("at.token", "rep", "n", "shared", "component")
 
 
-def _leaders(posted: DataFrame, limit: int) -> DataFrame:
-    """Of each list the best members of up to ``limit`` components."""
+def _leaders(posted: DataFrame, limit: int, each: int = 1) -> DataFrame:
+    """Of each list up to ``limit`` members: the best of its components, up to ``each`` of one."""
     best = F.struct("shared", -F.col("rep"))
     if limit == 1:
         named = posted.groupBy("token").agg(F.max_by("rep", best).alias("rep"))
     else:
-        of = posted.groupBy("token", "component").agg(F.max_by("rep", best).alias("rep"), F.max("shared").alias("shared"))
+        if each == 1:
+            of = posted.groupBy("token", "component").agg(F.max_by("rep", best).alias("rep"), F.max("shared").alias("shared"))
+            of = of.withColumn("own", F.lit(1))
+        else:
+            inside = Window.partitionBy("token", "component").orderBy(F.desc("shared"), "rep")
+            of = posted.withColumn("own", F.row_number().over(inside)).filter(F.col("own") <= each)
         # Spark keeps the first rows of each task before it brings a list together.
-        order = Window.partitionBy("token").orderBy(F.desc("shared"), "rep")
+        order = Window.partitionBy("token").orderBy("own", F.desc("shared"), "rep")
         named = of.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= limit).select("token", "rep")
     return named.join(posted.select("token", "rep", "n", "component"), ["token", "rep"])
 

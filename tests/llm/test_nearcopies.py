@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from gristmill.llm.components import components
-from gristmill.llm.nearcopies import _factors, least_matches, near_copies, signature
+from gristmill.llm.nearcopies import _factors, _leaders, least_matches, near_copies, signature
 from gristmill.session import Scope
 
 SCHEMA = "doc_id long, text string"
@@ -93,3 +93,45 @@ def test_components_of_a_long_path(spark):
     links = spark.range(60).selectExpr("(id * 7) % 61 as i", "((id + 1) * 7) % 61 as j")
     with Scope(spark) as scope:
         assert {tuple(r) for r in components(links, scope).collect()} == {(i, 0) for i in range(61)}
+
+
+def test_components_of_mixed_links(spark):
+    draw = random.Random(5)
+    links = [(draw.randrange(300), draw.randrange(300)) for _ in range(180)] + [(7, 7), (400, 3), (400, 3)]
+    label = {i: i for pair in links if pair[0] != pair[1] for i in pair}
+    for _ in label:
+        for a, b in links:
+            if a != b:
+                label[a] = label[b] = min(label[a], label[b])
+    with Scope(spark) as scope:
+        rows = components(spark.createDataFrame(links, "i long, j long"), scope).collect()
+    assert len(rows) == len(label) and {r.id: r.component for r in rows} == label
+
+
+@pytest.mark.parametrize("size", [1000, 4000])
+def test_pairs_of_a_family_follow_its_members(spark, monkeypatch, size):
+    draw = random.Random(size)
+    base = [f"b{i}" for i in range(120)]
+    rows = [(i, " ".join(f"x{i}" if k in at else w for k, w in enumerate(base))) for i in range(size) for at in [draw.sample(range(120), 2)]]
+    stage, pairs = Scope.stage, []
+
+    def counted(scope, df, name):
+        table = stage(scope, df, name)
+        if name == "pairs":
+            pairs.append(table.count())
+        return table
+
+    monkeypatch.setattr(Scope, "stage", counted)
+    out = near_copies(spark.createDataFrame(rows, SCHEMA), shingle=4)[0].collect()
+    assert {r.component_id for r in out} == {0}
+    assert sum(pairs) <= 4 * size
+
+
+def test_leaders_of_two_large_components(spark):
+    rows = [(1, rep, 9, rep % 7, rep % 2) for rep in range(1000)] + [(2, rep, 9, 1, 5 + rep) for rep in range(40)]
+    posted = spark.createDataFrame(rows, "token long, rep long, n int, shared int, component long")
+    one = {tuple(r) for r in _leaders(posted, 256).select("token", "rep").collect()}
+    assert one == {(1, 6), (1, 13)} | {(2, rep) for rep in range(40)}
+    many = _leaders(posted, 4096, 16).groupBy("token", "component").count().collect()
+    assert sorted((r.token, r["count"]) for r in many) == [(1, 16), (1, 16)] + [(2, 1)] * 40
+    assert _leaders(posted, 16, 16).groupBy("token").count().agg({"count": "max"}).first()[0] == 16
