@@ -5,6 +5,7 @@ from gristmill.plans.linked import (
     GenerationOptions,
     evaluate_entities,
     generate_linked,
+    generate_with_fallbacks,
     linked_report,
     validate_entities,
 )
@@ -18,6 +19,7 @@ __all__ = [
     "evaluate",
     "evaluate_entities",
     "generate_linked",
+    "generate_with_fallbacks",
     "linked_report",
     "load_spec",
     "quality_report",

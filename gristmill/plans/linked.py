@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,6 +33,7 @@ from gristmill.spec import (
     generation_order,
     id_field,
     id_prefix,
+    needed_entities,
     pool_plan,
 )
 
@@ -57,22 +58,47 @@ def generate_linked(
     spec: dict,
     authored: dict[str, DataFrame] | None = None,
     options: GenerationOptions = GenerationOptions(),
+    only: Sequence[str] | None = None,
 ) -> dict[str, DataFrame]:
-    """All entities, parents first: content, foreign keys, copies, scenarios, ids.
+    """All entities, or the ones in ``only``, parents first: content, foreign keys, copies, scenarios, ids.
 
     ``authored``: rows for entities with ``generate: llm``, with an integer order column ``_pos`` and the
     content fields. Every table has the dense position ``_idx``. A table that took a join is written to the
     shared folder once, for its children, checks and exports; one of drawn values only is cheaper to draw
-    again. A drawn key needs no parent rows, because an id follows from a position.
+    again. A drawn key needs no parent rows, because an id follows from a position. With ``only``, entities
+    that the wanted ones are not made from are left out altogether; the rows of the others stay the same.
+    """
+    return generate_with_fallbacks(spark, spec, authored, options, only)[0]
+
+
+def generate_with_fallbacks(
+    spark: SparkSession,
+    spec: dict,
+    authored: dict[str, DataFrame] | None = None,
+    options: GenerationOptions = GenerationOptions(),
+    only: Sequence[str] | None = None,
+) -> tuple[dict[str, DataFrame], DataFrame | None]:
+    """The tables of ``generate_linked``, and ``(entity, fk, fallbacks)`` of the matched keys drawn for them.
+
+    The join that draws a matched key flags its rows; the flags are written beside the table, so the counts
+    are a scan of one column and no second join. None if no key was matched.
     """
     tables: dict[str, DataFrame] = {}
     sizes: dict[str, int] = {}
+    counts: list[DataFrame] = []
+    wanted = list(spec["entities"]) if only is None else needed_entities(spec, only)
     for name in generation_order(spec):
+        if name not in wanted:
+            continue
         build = _Entity(spark, spec, name, authored or {}, options, tables, sizes)
-        table, rows = build.run()
-        tables[name] = stage(table, name) if _took_a_join(spec["entities"][name]) else table
-        sizes[name] = rows
-    return {name: tables[name] for name in spec["entities"]}
+        table, sizes[name] = build.run()
+        table = stage(table, name) if _took_a_join(spec["entities"][name]) else table
+        for fk, flag in build.flags.items():
+            lost = table.agg(F.count_if(F.col(f"`{flag}`")).alias("fallbacks"))
+            counts.append(lost.select(F.lit(name).alias("entity"), F.lit(fk).alias("fk"), "fallbacks"))
+        tables[name] = table.drop(*build.flags.values())
+    shown = [name for name in wanted if only is None or name in only]
+    return {name: tables[name] for name in shown}, union(counts) if counts else None
 
 
 def authoring_prompts(
@@ -110,6 +136,8 @@ class _Entity:
     options: GenerationOptions
     tables: dict[str, DataFrame]
     sizes: dict[str, int]
+    # Columns that flag the fallbacks of matched keys.
+    flags: dict[str, str] = field(default_factory=dict)
 
     def run(self) -> tuple[DataFrame, int]:
         self.entity = self.spec["entities"][self.name]
@@ -190,7 +218,8 @@ class _Entity:
                 matched = assign_matching(
                     table, match["via"], via_rows, ref_rows, parents, self.seed, self.name, fk
                 )
-                return matched.drop(f"{fk}_fallback")
+                self.flags[fk] = f"_fallback:{fk}"
+                return matched.withColumnRenamed(f"{fk}_fallback", self.flags[fk])
         at = draw_parent(self.seed, self.name, fk, F.col(INDEX), parents)
         return table.withColumn(fk, record_id(id_prefix(ref, target), at) if parents else F.lit(None).cast("string"))
 
@@ -222,7 +251,9 @@ def validate_entities(tables: dict[str, DataFrame], spec: dict) -> DataFrame:
 
 
 def linked_fallbacks(tables: dict[str, DataFrame], spec: dict) -> DataFrame | None:
-    """``(entity, fk, fallbacks)``: rows whose matched key had no parent with the same value to draw from.
+    """``(entity, fk, fallbacks)`` of any tables: rows whose matched key has no parent with the same value.
+
+    For tables in the making ``generate_with_fallbacks`` has the counts already.
 
     A row counts if the row behind it is known and no parent shares its value (null matches null). Rows are
     counted by the key they go through before anything is joined. None if no relationship is matched.

@@ -22,7 +22,7 @@ from gristmill.plans.linked import (
 from gristmill.queries import sql
 from gristmill.queries.generation import STATUS
 from gristmill.queries.tables import row_count, table
-from gristmill.spec import load_spec, scale_counts
+from gristmill.spec import load_spec, needed_entities, scale_counts
 
 SEED = 42
 # The marketplace domain.
@@ -129,26 +129,29 @@ def authored_offers(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def marketplace(spark: SparkSession, folder: str) -> tuple[dict, dict[str, DataFrame]]:
-    counts = {entity: row_count(table(spark, folder, name)) for entity, name in SIZED_BY.items()}
-    spec = scale_counts(load_spec(MARKETPLACE), counts=counts)
-    return spec, generate_linked(spark, spec, {"offers": authored_offers(spark, folder)})
+def marketplace(spark: SparkSession, folder: str, *only: str) -> tuple[dict, dict[str, DataFrame]]:
+    """The spec at the size of the given tables, and all its tables or the ones named."""
+    spec = load_spec(MARKETPLACE)
+    needed = needed_entities(spec, only or spec["entities"])
+    counts = {entity: row_count(table(spark, folder, name)) for entity, name in SIZED_BY.items() if entity in needed}
+    spec = scale_counts(spec, counts=counts)
+    return spec, generate_linked(spark, spec, {"offers": authored_offers(spark, folder)}, only=only or None)
 
 
 def marketplace_offers(spark: SparkSession, folder: str) -> DataFrame:
-    return marketplace(spark, folder)[1]["offers"].drop("_idx")
+    return marketplace(spark, folder, "offers")[1]["offers"].drop("_idx")
 
 
 def marketplace_orders(spark: SparkSession, folder: str) -> DataFrame:
-    return marketplace(spark, folder)[1]["orders"].drop("_idx")
+    return marketplace(spark, folder, "orders")[1]["orders"].drop("_idx")
 
 
 def marketplace_items(spark: SparkSession, folder: str) -> DataFrame:
-    return marketplace(spark, folder)[1]["order_items"].drop("_idx")
+    return marketplace(spark, folder, "order_items")[1]["order_items"].drop("_idx")
 
 
 def marketplace_join(spark: SparkSession, folder: str) -> DataFrame:
-    _, tables = marketplace(spark, folder)
+    _, tables = marketplace(spark, folder, "order_items", "offers", "sellers")
     items = tables["order_items"].select("offer_id")
     offers = tables["offers"].select(F.col("id").alias("offer_id"), "seller_id")
     sellers = tables["sellers"].select(F.col("id").alias("seller_id"))
@@ -189,7 +192,8 @@ def fallbacks(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def entity_quality(spark: SparkSession, folder: str) -> DataFrame:
-    spec, tables = marketplace(spark, folder)
+    measured = [name for name, entity in MARKETPLACE["entities"].items() if "text_field" in entity or "label_fields" in entity]
+    spec, tables = marketplace(spark, folder, *measured)
     return evaluate_entities(tables, spec)
 
 

@@ -12,11 +12,13 @@ from gristmill.plans.linked import (
     authoring_prompts,
     evaluate_entities,
     generate_linked,
+    generate_with_fallbacks,
+    linked_fallbacks,
     linked_report,
     validate_entities,
 )
 from gristmill.queries.linked import CATEGORIES, MARKETPLACE
-from gristmill.spec import PoolDefaults, load_spec, scale_counts
+from gristmill.spec import PoolDefaults, SpecError, load_spec, needed_entities, scale_counts
 
 
 def offers(spark, n):
@@ -226,3 +228,27 @@ def test_pool_can_be_tuned(spark):
     options = GenerationOptions(pool=PoolDefaults(min_size=5, recombine="shuffle"))
     made = generate_linked(spark, spec, {"offers": offers(spark, 100)}, options)["offers"]
     assert made.count() == 60 and made.select("name").distinct().count() <= 6
+
+
+def test_only_what_is_needed_is_made(spark, market):
+    spec, tables = market
+    assert needed_entities(spec, ["offers"]) == ["sellers", "offers"]
+    assert needed_entities(spec, ["order_items"]) == list(spec["entities"])
+    with pytest.raises(SpecError, match="unknown entity: shops"):
+        needed_entities(spec, ["shops"])
+    # No authored rows are asked for, as no offers are made.
+    part = generate_linked(spark, spec, options=GenerationOptions(seed=1), only=["orders", "buyers"])
+    assert list(part) == ["buyers", "orders"]
+    for name, table in part.items():
+        assert sorted(map(tuple, table.collect())) == sorted(map(tuple, tables[name].collect()))
+
+
+def test_generation_returns_its_fallbacks(spark):
+    spec = scale_counts(load_spec(MARKETPLACE), 10)
+    spec["entities"]["offers"]["count"] = 15  # fewer than sellers
+    given = {"offers": offers(spark, 200)}
+    tables, lost = generate_with_fallbacks(spark, spec, given, GenerationOptions(seed=1))
+    assert "_fallback:offer_id" not in tables["order_items"].columns
+    counted = linked_fallbacks(tables, spec).collect()
+    assert lost.collect() == counted and counted[0]["fallbacks"] > 0
+    assert generate_with_fallbacks(spark, spec, given, only=["orders"])[1] is None
