@@ -19,8 +19,9 @@ Both features of the class model have few values, so the counts of (context, out
 training corpus are a table of bounded size that is sufficient for training: gradient updates run over its
 rows on Spark and are exact full-corpus gradients. The tables of tokens and of pairs grow with the corpus:
 they are combined per slab, dealt into hash buckets and looked up there, so that no word or pair is a hot
-key; the counts go back to the slab that asked. Token counts are exact for every token. Only counts of the
-``FREQUENT`` most frequent tokens are sent to the tasks.
+key; the counts go back to the slab that asked. Token counts are exact for every token, pairs are told apart by
+48 bits, and nothing but the order of floating-point sums depends on how rows or buckets are dealt to tasks.
+Only counts of the ``FREQUENT`` most frequent tokens are sent to the tasks.
 """
 
 from __future__ import annotations
@@ -59,6 +60,7 @@ MASSES = (0.25, 1.0, 4.0, 16.0, 64.0, 256.0, np.inf)
 PARTS = 4
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _END = np.uint64(0xA5A5A5A55A5A5A5A)
+_PAIR = np.uint64(0xFFFFFFFFFFFF0000)
 _COUNTED = "bucket int, keys binary, counts binary"
 _TOTALS = "bucket int, keys binary, counts binary, total long, size long, bins array<int>, sizes array<long>"
 _STATE = ("ids", "flags", "lens", "codes", "base", "pairs")
@@ -124,7 +126,7 @@ def rows_of(docs: DataFrame, training: Column, id_col: str, text_col: str) -> Da
 
 def count_tokens(rows: DataFrame, scope: Scope, frequent: int = FREQUENT) -> Counts:
     """Exact counts of the tokens of training rows."""
-    buckets = bucket_count(rows)
+    buckets = _buckets(rows)
     training = rows.filter("of.train").select("id", "text")
     counted = training.mapInArrow(lambda it: _count(it, buckets), _COUNTED)
     table = scope.stage(counted.groupBy("bucket").applyInArrow(_total, _TOTALS), "token_counts")
@@ -184,7 +186,7 @@ def train(rows: DataFrame, counts: Counts, scope: Scope, rounds: int = ROUNDS) -
 
 def count_pairs(rows: DataFrame, scope: Scope) -> DataFrame:
     """Counts of every pair of neighbouring tokens of the training rows, by bucket."""
-    buckets = bucket_count(rows)
+    buckets = _buckets(rows)
     training = rows.filter("of.train").select("id", "text")
     counted = training.mapInArrow(lambda it: _count_pairs(it, buckets), _COUNTED)
     return scope.stage(counted.groupBy("bucket").applyInArrow(_total_pairs, _COUNTED), "pair_counts")
@@ -192,7 +194,7 @@ def count_pairs(rows: DataFrame, scope: Scope) -> DataFrame:
 
 def score(rows: DataFrame, counts: Counts, model: Model, scope: Scope) -> DataFrame:
     """``(id, train, n_tokens, n_known, base_score, score)`` of every row, log10 probabilities of the whole text."""
-    buckets = bucket_count(rows)
+    buckets = _buckets(rows)
     packed = _lookup(counts)
     by_rank = np.zeros(len(counts.keys), np.int64)
     by_rank[counts.ranks] = counts.counts
@@ -240,8 +242,13 @@ def score_texts(
 # Counting
 
 
+def _buckets(rows: DataFrame) -> int:
+    """The buckets of a table; where a token is asked for takes 16 bits."""
+    return min(bucket_count(rows), 1 << 16)
+
+
 def _count(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
-    for slab, _ in slabs(batches, lower=True):
+    for slab, _ in slabs(batches, lower=True, whole=True):
         keys, counts = np.unique(tokens_of(slab)[0], return_counts=True)
         at = cut(keys, buckets)
         full = [b for b in range(buckets) if at[b] < at[b + 1]]
@@ -288,16 +295,28 @@ def _pairs(tokens: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """A hash of each token and the one before; before a document is an end."""
     before = np.append(tokens[-1:], tokens[:-1])
     before[starts] = mix(np.array([_END]))
-    return mix(before * _ODD + tokens)
+    return mix(before * _ODD + tokens) & _PAIR
+
+
+def _narrow(keys: np.ndarray) -> bytes:
+    """The 48 bits that tell pairs apart, whatever the number of buckets."""
+    return np.ascontiguousarray((keys >> np.uint64(16)).view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
+
+
+def _widened(packed: bytes) -> np.ndarray:
+    found = np.zeros((len(packed) // 6, 8), np.uint8)
+    found[:, :6] = np.frombuffer(packed, np.uint8).reshape(-1, 6)
+    return found.view(np.uint64).ravel()
 
 
-def _low(keys: np.ndarray) -> np.ndarray:
-    """The row of a pair in its bucket: each bucket has 2^32, so the table grows with the buckets."""
-    return keys.astype(np.uint32)
+def _keys(values: list, kind: int) -> np.ndarray:
+    """The keys of tokens (kind 0) or of pairs (kind 1)."""
+    packed = b"".join(value for value in values if value)
+    return _widened(packed) if kind else np.frombuffer(packed, np.uint64)
 
 
 def _count_pairs(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
-    for slab, _ in slabs(batches, lower=True):
+    for slab, _ in slabs(batches, lower=True, whole=True):
         tokens, _, starts = tokens_of(slab)
         keys, counts = np.unique(_pairs(tokens, starts), return_counts=True)
         at = cut(keys, buckets)
@@ -305,20 +324,21 @@ def _count_pairs(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa
         yield pa.RecordBatch.from_pydict(
             {
                 "bucket": pa.array(full, pa.int32()),
-                "keys": pa.array([_low(keys[at[b] : at[b + 1]]).tobytes() for b in full], pa.binary()),
+                "keys": pa.array([_narrow(keys[at[b] : at[b + 1]]) for b in full], pa.binary()),
                 "counts": pa.array([counts[at[b] : at[b + 1]].astype(np.int64).tobytes() for b in full], pa.binary()),
             }
         )
 
 
 def _total_pairs(table: pa.Table) -> pa.Table:
-    keys, counts = from_bytes(table["keys"], np.uint32), from_bytes(table["counts"], np.int64)
+    keys, counts = _keys(table["keys"].to_pylist(), 1), from_bytes(table["counts"], np.int64)
     order = np.argsort(keys, kind="stable")
     keys, counts = keys[order], counts[order]
     first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
     counts = np.add.reduceat(counts, first)
     bucket = pa.array([table["bucket"][0].as_py()], pa.int32())
-    return pa.table({"bucket": bucket, "keys": pa.array([keys[first].tobytes()], pa.binary()), "counts": pa.array([counts.tobytes()], pa.binary())})
+    packed = _narrow(keys[first] << np.uint64(16))
+    return pa.table({"bucket": bucket, "keys": pa.array([packed], pa.binary()), "counts": pa.array([counts.tobytes()], pa.binary())})
 
 
 # Contexts
@@ -362,7 +382,7 @@ def _contexts(batches: Iterator[pa.RecordBatch], packed: tuple) -> Iterator[pa.R
     classes = CLASSES + 1
     outcomes = PREVIOUS * SKIPPED * classes
     total = np.zeros(outcomes + SKIPPED * WORDS, np.int64)
-    for slab, _ in slabs(batches, lower=True):
+    for slab, _ in slabs(batches, lower=True, whole=True):
         tokens, _, starts = tokens_of(slab)
         _, rank = _ranked(tokens, keys, ranks)
         previous, skipped = _features(tokens, rank, starts)
@@ -483,7 +503,7 @@ def _ask(batches: Iterator[pa.RecordBatch], packed: tuple, model: Model, buckets
     """Per slab: what is known about its tokens, and its rare tokens and its pairs by bucket."""
     keys, ranks, _, frequent = packed
     first = TaskContext.get().partitionId() << 32
-    for number, (slab, of) in enumerate(slabs(batches, lower=True, extra="of")):
+    for number, (slab, of) in enumerate(slabs(batches, lower=True, extra="of", whole=True)):
         tokens, _, starts = tokens_of(slab)
         _, rank = _ranked(tokens, keys, ranks)
         previous, skipped = _features(tokens, rank, starts)
@@ -498,7 +518,7 @@ def _ask(batches: Iterator[pa.RecordBatch], packed: tuple, model: Model, buckets
         pairs = _pairs(tokens, starts)
         met = _places(pairs, buckets)
         rows = [(b, first + number, 0, part.tobytes(), *[None] * 6) for b, part in _split(tokens[rare], where, buckets)]
-        rows += [(b, first + number, 1, part.tobytes(), *[None] * 6) for b, part in _split(_low(pairs), met, buckets)]
+        rows += [(b, first + number, 1, _narrow(part), *[None] * 6) for b, part in _split(pairs, met, buckets)]
         ids = np.array([o["id"] if o["id"] is not None else 0 for o in of], np.int64)
         flags = np.array([o["train"] + 2 * (o["id"] is None) for o in of], np.int64)
         state = (ids, flags, slab.lens + 1, codes, scores.astype(np.float32), met)
@@ -522,12 +542,12 @@ def _answer(table: pa.Table) -> pa.Table:
     """The counts of all that is asked of one bucket, in the order in which each slab asks."""
     slab, kinds, bucket = table["slab"].to_pylist(), table["kind"].to_pylist(), table["bucket"][0].as_py()
     found: list[tuple] = []
-    for kind, dtype in ((0, np.uint64), (1, np.uint32)):
+    for kind in (0, 1):
         given = table.filter(pa.array([s is None and k == kind for s, k in zip(slab, kinds, strict=True)]))
-        keys, counts = from_bytes(given["keys"], dtype), from_bytes(given["counts"], np.int64)
+        keys, counts = _keys(given["keys"].to_pylist(), kind), from_bytes(given["counts"], np.int64)
         for row, (s, k) in enumerate(zip(slab, kinds, strict=True)):
             if s is not None and k == kind:
-                wanted = np.frombuffer(table["keys"][row].as_py(), dtype)
+                wanted = _keys([table["keys"][row].as_py()], kind)
                 answer = np.zeros(len(wanted), np.int64)
                 if len(keys):
                     at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)

@@ -92,6 +92,26 @@ def test_probabilities_add_up_to_one(spark):
     assert np.isclose(rest, counts.rest_mass())
 
 
+def test_scores_do_not_depend_on_partitions(spark):
+    rows, found, before = corpus(), [], spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for partitions in (8, 3):
+            spark.conf.set("spark.sql.shuffle.partitions", partitions)
+            scored = score_texts(spark.createDataFrame(rows, SCHEMA).repartition(partitions), training(), rounds=2)[0].collect()
+            found.append(sorted((r.id is None, r.id, r.n_tokens, r.n_known, r.score) for r in scored))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert [r[:4] for r in found[0]] == [r[:4] for r in found[1]]
+    assert np.allclose([r[4] for r in found[0]], [r[4] for r in found[1]], rtol=1e-9, atol=1e-6)
+
+
+def test_pairs_of_any_bucket_keep_their_bits():
+    pairs = langmodel._pairs(langmodel.mix(np.arange(5000, dtype=np.uint64)), np.array([0, 40]))
+    assert np.array_equal(langmodel._widened(langmodel._narrow(pairs)) << np.uint64(16), pairs)
+    # Keys of a sorted bucket stay sorted, as look-ups need.
+    assert np.all(np.diff(langmodel._widened(langmodel._narrow(np.sort(pairs)))) > 0)
+
+
 def test_empty_tables(spark):
     assert score_texts(spark.createDataFrame([], SCHEMA), training())[0].count() == 0
     nothing = score_texts(spark.createDataFrame([(1, "a b"), (2, None)], SCHEMA), F.lit(False))[0].collect()
