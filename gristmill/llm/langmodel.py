@@ -58,6 +58,8 @@ MASSES = (0.25, 1.0, 4.0, 16.0, 64.0, 256.0, np.inf)
 # The rows are scored in so many parts, one after the other, as what passes between slabs and buckets is several
 # times the text.
 PARTS = 4
+# Buckets of a partition of a shuffle.
+BUCKETS = 4
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _END = np.uint64(0xA5A5A5A55A5A5A5A)
 _PAIR = np.uint64(0xFFFFFFFFFFFF0000)
@@ -243,8 +245,8 @@ def score_texts(
 
 
 def _buckets(rows: DataFrame) -> int:
-    """The buckets of a table; where a token is asked for takes 16 bits."""
-    return min(bucket_count(rows), 1 << 16)
+    """The buckets of a table: several a task, as one is held whole; where a token is asked for takes 16 bits."""
+    return min(BUCKETS * bucket_count(rows), 1 << 16)
 
 
 def _count(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
@@ -315,6 +317,12 @@ def _keys(values: list, kind: int) -> np.ndarray:
     return _widened(packed) if kind else np.frombuffer(packed, np.uint64)
 
 
+def _counts(values: list, kind: int) -> np.ndarray:
+    """The counts of tokens, or of pairs, which are packed."""
+    parts = [_unpacked(value) if kind else np.frombuffer(value, np.int64) for value in values if value]
+    return np.concatenate([np.empty(0, np.int64), *parts])
+
+
 def _count_pairs(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
     for slab, _ in slabs(batches, lower=True, whole=True):
         tokens, _, starts = tokens_of(slab)
@@ -325,20 +333,20 @@ def _count_pairs(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa
             {
                 "bucket": pa.array(full, pa.int32()),
                 "keys": pa.array([_narrow(keys[at[b] : at[b + 1]]) for b in full], pa.binary()),
-                "counts": pa.array([counts[at[b] : at[b + 1]].astype(np.int64).tobytes() for b in full], pa.binary()),
+                "counts": pa.array([_packed(counts[at[b] : at[b + 1]]) for b in full], pa.binary()),
             }
         )
 
 
 def _total_pairs(table: pa.Table) -> pa.Table:
-    keys, counts = _keys(table["keys"].to_pylist(), 1), from_bytes(table["counts"], np.int64)
+    keys, counts = _keys(table["keys"].to_pylist(), 1), _counts(table["counts"].to_pylist(), 1)
     order = np.argsort(keys, kind="stable")
     keys, counts = keys[order], counts[order]
     first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
     counts = np.add.reduceat(counts, first)
     bucket = pa.array([table["bucket"][0].as_py()], pa.int32())
     packed = _narrow(keys[first] << np.uint64(16))
-    return pa.table({"bucket": bucket, "keys": pa.array([packed], pa.binary()), "counts": pa.array([counts.tobytes()], pa.binary())})
+    return pa.table({"bucket": bucket, "keys": pa.array([packed], pa.binary()), "counts": pa.array([_packed(counts)], pa.binary())})
 
 
 # Contexts
@@ -544,7 +552,7 @@ def _answer(table: pa.Table) -> pa.Table:
     found: list[tuple] = []
     for kind in (0, 1):
         given = table.filter(pa.array([s is None and k == kind for s, k in zip(slab, kinds, strict=True)]))
-        keys, counts = _keys(given["keys"].to_pylist(), kind), from_bytes(given["counts"], np.int64)
+        keys, counts = _keys(given["keys"].to_pylist(), kind), _counts(given["counts"].to_pylist(), kind)
         for row, (s, k) in enumerate(zip(slab, kinds, strict=True)):
             if s is not None and k == kind:
                 wanted = _keys([table["keys"][row].as_py()], kind)
