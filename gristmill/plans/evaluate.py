@@ -101,7 +101,8 @@ def evaluate(
 ) -> Evaluation:
     """Validate, find near-duplicates, deduplicate, measure, judge and give a verdict.
 
-    ``position`` is the integer order column. Judging needs the spec's ``judge`` block and either
+    ``position`` is the integer order column; valid records whose position is null or repeated are refused,
+    as removal would take them for one. Judging needs the spec's ``judge`` block and either
     ``score``, called on prompts, or ``responses`` ``(position, raw)`` made elsewhere.
     """
     scope = Scope(records.sparkSession)
@@ -110,6 +111,15 @@ def evaluate(
     return replace(found, scope=scope)
 
 
+def _check_positions(records: DataFrame, position: str) -> None:
+    """Raise unless every record has a position of its own."""
+    uses = records.groupBy(F.col(position).alias("place")).agg(F.count(F.lit(1)).alias("n"))
+    wrong = uses.filter(F.col("place").isNull() | (F.col("n") > 1)).first()
+    if wrong is not None:
+        what = "no value" if wrong["place"] is None else f"value {wrong['place']}"
+        raise ValueError(f"positions must be unique: {wrong['n']} valid records have {what} in {position!r}")
+
+
 def _evaluated(
     records: DataFrame,
     spec: dict,
@@ -122,6 +132,7 @@ def _evaluated(
     strict = {"strict_dates": options.strict_dates}
     errors = invalid_records(records, fields, position, **strict)
     valid = stage(valid_records(records, fields, [position], **strict), "valid")
+    _check_positions(valid, position)
 
     gone, pairs = removed_and_pairs(
         valid, position, text, options.dedup_threshold, options.stop_words, options.count_pairs

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -22,6 +23,9 @@ SETTINGS = {
 }
 # Frees a query's shuffle files when it ends, instead of whenever the driver collects its garbage.
 FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_lock = threading.Lock()
+# By session: how many writes run with it on, and its value before the first of them.
+_freeing: dict[SparkSession, tuple[int, str | None]] = {}
 
 
 def build_session(app_name: str = "gristmill", **settings: str) -> SparkSession:
@@ -51,6 +55,28 @@ def staging_root(spark: SparkSession) -> str:
     return root
 
 
+@contextmanager
+def freeing_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files are freed inside; writes of several threads may overlap, the last one restores the setting."""
+    with _lock:
+        running, before = _freeing.get(spark, (0, None))
+        if not running:
+            before = spark.conf.get(FREE_SHUFFLES, None)
+            spark.conf.set(FREE_SHUFFLES, "true")
+        _freeing[spark] = (running + 1, before)
+    try:
+        yield
+    finally:
+        with _lock:
+            running, before = _freeing.pop(spark)
+            if running > 1:
+                _freeing[spark] = (running - 1, before)
+            elif before is None:
+                spark.conf.unset(FREE_SHUFFLES)
+            else:
+                spark.conf.set(FREE_SHUFFLES, before)
+
+
 class Scope:
     """Owner of staged tables: ``close()`` deletes all it holds. Scopes are independent of each other."""
 
@@ -67,15 +93,8 @@ class Scope:
         """
         path = f"{staging_root(self.spark)}/gristmill/{name}-{uuid.uuid4().hex}"
         self._paths.append(path)
-        before = self.spark.conf.get(FREE_SHUFFLES, None)
-        self.spark.conf.set(FREE_SHUFFLES, "true")
-        try:
+        with freeing_shuffles(self.spark):
             df.write.parquet(path)
-        finally:
-            if before is None:
-                self.spark.conf.unset(FREE_SHUFFLES)
-            else:
-                self.spark.conf.set(FREE_SHUFFLES, before)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def close(self) -> None:

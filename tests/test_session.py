@@ -46,3 +46,14 @@ def test_no_machine_local_folder_on_a_cluster():
     context = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None)
     with pytest.raises(RuntimeError, match="checkpoint"):
         session.staging_root(SimpleNamespace(conf=conf, sparkContext=context))
+
+
+def test_overlapping_writes_restore_the_setting(spark):
+    before = spark.conf.get(session.FREE_SHUFFLES, None)
+    first, second = session.freeing_shuffles(spark), session.freeing_shuffles(spark)
+    first.__enter__()
+    second.__enter__()
+    first.__exit__(None, None, None)
+    assert spark.conf.get(session.FREE_SHUFFLES) == "true"
+    second.__exit__(None, None, None)
+    assert spark.conf.get(session.FREE_SHUFFLES, None) == before

@@ -1,5 +1,6 @@
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from gristmill.operators.validate import (
@@ -14,6 +15,7 @@ from gristmill.operators.validate import (
     valid_records,
     validation_counts,
 )
+from gristmill.plans.evaluate import evaluate
 from gristmill.streaming.records import harvest_stream
 
 
@@ -140,3 +142,9 @@ def test_whole_number_text(spark):
     rejected = invalid_records(df.withColumn("empty", F.lit(None).cast("string")), fields, "n").collect()
     assert sorted(r["n"] for r in rejected) == sorted(refused)
     assert all('"empty":null' in r["record_json"] for r in rejected)
+
+
+@pytest.mark.parametrize("place", ["0", "CASE WHEN _pos > 0 THEN _pos END"])
+def test_positions_that_are_not_unique_are_refused(spark, tickets, ticket_spec, place):
+    with pytest.raises(ValueError, match="unique"):
+        evaluate(tickets.withColumn("_pos", F.expr(place).cast("bigint")), ticket_spec, "_pos")
