@@ -19,7 +19,9 @@
    smallest member of its lists can have no partner and leaves, the others are posted under their rarest.
    Here a leader, the member of a component with most shared values, meets the members of all other components
    in its list and leaves it, ``GROWTH`` times as many leaders in each round (beyond ``ALONE`` several of one
-   component), until no list is open: nothing is capped, and no pair across components is left unseen.
+   component), until no list is open: nothing is capped, and no pair across components is left unseen. Sets carry
+   a sketch, the parities of their shingles in ``BITS`` bins: bins that differ are shingles that only one of two
+   sets has, so a meeting whose sketches differ in too many bins is no link and goes no further.
 """
 
 from __future__ import annotations
@@ -49,6 +51,10 @@ GROWTH = 16
 ALONE = 256
 # Rounds of one leader per class go on while this share of their pairs are links.
 PAYS = 0.25
+# Bins of a sketch, 64 to a number.
+BITS = 512
+# Words that are hashed at once; a worker keeps no word beyond that.
+HASHED_WORDS = 1 << 18
 _SIGNED = "id long, n long, f1 long, f2 long, signature array<int>"
 
 
@@ -140,7 +146,7 @@ def _merge(
             named = links.join(labels.toDF("i", "ci"), "i").join(labels.toDF("j", "cj"), "j")
             merged = stars(named.select(F.col("ci").alias("i"), F.col("cj").alias("j")), scope).toDF("component", "to")
             labels = scope.stage(_relabelled(labels, merged).select("rep", "component"), "labels")
-            left = _relabelled(left, merged).select("token", "rep", "n", "shared", "component")
+            left = _relabelled(left, merged).select(*left.columns)
         return _open(left, scope), many > PAYS * pairs.count()
 
     turn, pays = 0, True
@@ -183,12 +189,12 @@ def _open(posted: DataFrame, scope: Scope) -> DataFrame:
 
 
 def _sets_of(rows: DataFrame, classes: DataFrame, active: DataFrame, shingle: int) -> DataFrame:
-    """``(rep, shingles)`` of the active classes."""
+    """``(rep, shingles, sketch)`` of the active classes."""
     texts = rows.join(active.select(F.col("rep").alias("id")), "id", "left_semi")
-    sets = texts.mapInArrow(lambda it: _sets(it, shingle), "rep long, f1 long, f2 long, shingles array<long>")
+    sets = texts.mapInArrow(lambda it: _sets(it, shingle), "rep long, f1 long, f2 long, shingles array<long>, sketch array<long>")
     # Rows that share an id may have other sets: only the class's own counts.
     own = classes.select("rep", "f1", "f2").join(active, "rep", "left_semi")
-    return sets.join(own, ["rep", "f1", "f2"], "left_semi").dropDuplicates(["rep"]).select("rep", "shingles")
+    return sets.join(own, ["rep", "f1", "f2"], "left_semi").dropDuplicates(["rep"]).select("rep", "shingles", "sketch")
 
 
 def _exact_lists(posted: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -209,8 +215,9 @@ def _exact_lists(posted: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     common = F.ceil((F.col("n") + least) * percent / (100 + percent) - 1e-9).cast("int")
     values = values.withColumn("shared", F.size("of")).withColumn("common", common).filter("shared >= common")
     prefix = F.slice(F.sort_array("of"), F.lit(1), F.col("shared") - F.col("common") + 1)
-    exploded = values.select("rep", "n", "shared", "component", F.explode(prefix).alias("at"))
-    return exploded.select("at.token", "rep", "n", "shared", "component")
+    values = values.select("rep", "n", "shared", "component", prefix.alias("of")).join(sets.select("rep", "sketch"), "rep")
+    exploded = values.select("rep", "n", "shared", "component", "sketch", F.explode("of").alias("at"))
+    return exploded.select("at.token", "rep", "n", "shared", "component", "sketch")
 
 
 def _leaders(posted: DataFrame, limit: int, each: int = 1) -> DataFrame:
@@ -228,7 +235,7 @@ def _leaders(posted: DataFrame, limit: int, each: int = 1) -> DataFrame:
         # Spark keeps the first rows of each task before it brings a list together.
         order = Window.partitionBy("token").orderBy("own", F.desc("shared"), "rep")
         named = of.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= limit).select("token", "rep")
-    return named.join(posted.select("token", "rep", "n", "component"), ["token", "rep"])
+    return named.join(posted.drop("shared"), ["token", "rep"])
 
 
 def _relabelled(table: DataFrame, merged: DataFrame) -> DataFrame:
@@ -237,11 +244,14 @@ def _relabelled(table: DataFrame, merged: DataFrame) -> DataFrame:
 
 
 def _across(leaders: DataFrame, posted: DataFrame, percent: int) -> DataFrame:
-    """``(i, j)``: each leader with the members of other components that its size allows."""
-    left = leaders.select("token", F.col("rep").alias("a"), F.col("n").alias("an"), F.col("component").alias("ac"))
-    right = posted.select("token", F.col("rep").alias("b"), F.col("n").alias("bn"), F.col("component").alias("bc"))
+    """``(i, j)``: each leader with the members of other components that its size and its sketch allow."""
+    left = leaders.select("token", F.col("rep").alias("a"), F.col("n").alias("an"), F.col("component").alias("ac"), F.col("sketch").alias("as"))
+    right = posted.select("token", F.col("rep").alias("b"), F.col("n").alias("bn"), F.col("component").alias("bc"), F.col("sketch").alias("bs"))
     met = left.join(right, "token").filter("ac != bc")
     met = met.filter(F.least("an", "bn") * 100 >= F.greatest("an", "bn") * percent)
+    # At most (an + bn - apart) / 2 are common, and a link has at least percent / (100 + percent) * (an + bn).
+    apart = sum((F.bit_count(F.col("as")[k].bitwiseXOR(F.col("bs")[k])) for k in range(BITS // 64)), F.lit(0))
+    met = met.filter((F.col("an") + F.col("bn") - apart) * (100 + percent) >= (F.col("an") + F.col("bn")) * (2 * percent))
     return met.select(F.least("a", "b").alias("i"), F.greatest("a", "b").alias("j")).distinct()
 
 
@@ -252,7 +262,8 @@ def _matching(pairs: DataFrame, signatures: DataFrame, matches: int) -> DataFram
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    both = pairs.join(sets.toDF("i", "si"), "i").join(sets.toDF("j", "sj"), "j")
+    of = sets.select("rep", "shingles")
+    both = pairs.join(of.toDF("i", "si"), "i").join(of.toDF("j", "sj"), "j")
     return both.withColumn("common", F.size(F.array_intersect("si", "sj"))).filter(_similar(percent)).select("i", "j")
 
 
@@ -263,7 +274,7 @@ def _similar(percent: int) -> Column:
 
 def _shingles(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[tuple[int, np.ndarray]]:
     """Every document's id and the sorted distinct hashes of its shingles."""
-    for slab, _ in slabs(batches, lower=True):
+    for slab, _ in slabs(batches, lower=True, whole=True, most=HASHED_WORDS):
         keys = rolling(slab.hashes, n)
         for id_, start, size in zip(slab.ids.tolist(), slab.starts.tolist(), slab.lens.tolist(), strict=True):
             if size >= n:
@@ -283,6 +294,12 @@ def _prints(found: np.ndarray) -> tuple[int, int]:
     return int(one.view(np.int64)), int(two.view(np.int64))
 
 
+def sketch(found: np.ndarray) -> np.ndarray:
+    """The parities of a set's shingles in ``BITS`` bins."""
+    bins = np.bincount((found & np.uint64(BITS - 1)).astype(np.int64), minlength=BITS)
+    return np.packbits((bins & 1).astype(np.uint8)).view(np.int64)
+
+
 def _factors(k: int) -> np.ndarray:
     return mix(np.arange(1, k + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
@@ -323,13 +340,14 @@ def _sign(batches: Iterator[pa.RecordBatch], shingle: int, k: int) -> Iterator[p
 
 def _sets(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.RecordBatch]:
     def made(rows: list[tuple]) -> pa.RecordBatch:
-        ids, ones, twos, parts = zip(*rows, strict=True)
+        ids, ones, twos, parts, sketches = zip(*rows, strict=True)
         plain = [pa.array(x, pa.int64()) for x in (ids, ones, twos)]
-        return pa.RecordBatch.from_arrays([*plain, _lists(list(parts), pa.int64())], ["rep", "f1", "f2", "shingles"])
+        lists = [_lists(list(x), pa.int64()) for x in (parts, sketches)]
+        return pa.RecordBatch.from_arrays([*plain, *lists], ["rep", "f1", "f2", "shingles", "sketch"])
 
     rows, size = [], 0
     for id_, found in _shingles(batches, shingle):
-        rows.append((id_, *_prints(found), found.view(np.int64)))
+        rows.append((id_, *_prints(found), found.view(np.int64), sketch(found)))
         size += len(found)
         if size >= 500_000:
             yield made(rows)

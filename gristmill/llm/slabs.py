@@ -120,12 +120,13 @@ def texts(batches: Iterable[pa.RecordBatch], column: str = "text") -> Iterator[t
 
 
 def slabs(
-    batches: Iterable[pa.RecordBatch], lower: bool = False, extra: str | None = None, whole: bool = False
+    batches: Iterable[pa.RecordBatch], lower: bool = False, extra: str | None = None, whole: bool = False, most: int = SLAB_WORDS
 ) -> Iterator[tuple[Slab, list]]:
     """Slabs of ``(id, text)`` rows; words are runs of non-blank bytes. Rows have non-null ids.
 
     ``extra`` names a column whose values come along, in the slab's order. ``whole`` hashes buffers instead of
-    word after word: several times faster where most words are rare, with other hashes.
+    word after word: several times faster where most words are rare, with other hashes. A slab is given out once
+    it has ``most`` words.
     """
     known = ByteHashes(lower) if whole else WordHashes()
     ids: list[int] = []
@@ -161,7 +162,7 @@ def slabs(
                 words += found
             parts.append(known.of(words))
         size += len(parts[-1])
-        if size >= SLAB_WORDS:
+        if size >= most:
             yield made()
             ids, lens, parts, carried, size = [], [], [], [], 0
     if ids:

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from gristmill.llm.components import components
-from gristmill.llm.nearcopies import _factors, _leaders, least_matches, near_copies, signature
+from gristmill.llm.nearcopies import _factors, _leaders, least_matches, near_copies, signature, sketch
 from gristmill.session import Scope
 
 SCHEMA = "doc_id long, text string"
@@ -135,3 +135,35 @@ def test_leaders_of_two_large_components(spark):
     many = _leaders(posted, 4096, 16).groupBy("token", "component").count().collect()
     assert sorted((r.token, r["count"]) for r in many) == [(1, 16), (1, 16)] + [(2, 1)] * 40
     assert _leaders(posted, 16, 16).groupBy("token").count().agg({"count": "max"}).first()[0] == 16
+
+
+def test_texts_just_below_the_threshold_to_a_family_are_told_by_sketches(spark, monkeypatch):
+    """Outsiders share enough shingles to stay open, so each meets every member; the meetings are no pairs to verify."""
+    draw = random.Random(8)
+    base = [f"b{i}" for i in range(120)]
+
+    def changed(i, many, first):
+        at = draw.sample(range(first, 116, 8), many)
+        return i, " ".join(f"x{i}" if k in at else w for k, w in enumerate(base))
+
+    rows = [changed(i, 1, 4) for i in range(200)] + [changed(1000 + i, 3, 8) for i in range(40)]
+    stage, pairs = Scope.stage, []
+
+    def counted(scope, df, name):
+        table = stage(scope, df, name)
+        if name == "pairs":
+            pairs.append(table.count())
+        return table
+
+    monkeypatch.setattr(Scope, "stage", counted)
+    assert found(near_copies(spark.createDataFrame(rows, SCHEMA), shingle=4)[0]) == brute(rows)
+    assert sum(pairs) <= 8 * len(rows)
+
+
+def test_sketches_differ_in_no_more_bins_than_the_sets():
+    draw = np.random.default_rng(9)
+    for size in (1, 30, 400, 3000):
+        both = draw.integers(0, 2**63, 2 * size).astype(np.uint64)
+        a, b = both[: size + size // 2], both[size // 2 :]
+        apart = sum((int(x) ^ int(y)).bit_count() for x, y in zip(sketch(a).view(np.uint64), sketch(b).view(np.uint64), strict=True))
+        assert apart <= size and (apart - size) % 2 == 0
