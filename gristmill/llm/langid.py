@@ -31,7 +31,7 @@ SAMPLE_ALL = 6000
 SHORT, LONG = 1024, 4096
 DIMENSIONS = SHORT + LONG
 # Bytes whose n-grams are counted at once.
-CHUNK = 1_000_000
+CHUNK = 1 << 18
 
 # Language families by ISO 639-1 code. A language that is not listed is a family of its own.
 FAMILIES: Mapping[str, str] = {
