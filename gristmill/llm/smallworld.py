@@ -1,7 +1,8 @@
 """Embedding near-dedup through hierarchical navigable small-world graphs, one per shard.
 
-1. Rows with equal vectors are one *class*; classes are dealt to shards by a hash, as many as the table
-   needs for ``SHARD_CELLS`` numbers each.
+1. Rows with equal vectors are one *class*; classes are dealt to shards by a hash. Shards hold ``SHARD_CELLS``
+   numbers, and as the table grows both they and their number grow with its root, up to ``MOST_CELLS``: a search
+   costs little more in a larger graph, but every vector searches all of them.
 2. Each shard builds a graph (Malkov and Yashunin 2016) by inserting batches, from the highest layer down. A
    vector within half the link angle of a node that is already there joins its *ball* and is no node: any two of
    a ball are linked by the triangle inequality. So a family of near copies is a few nodes, not a clique.
@@ -23,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gristmill.llm.components import components
@@ -32,6 +33,8 @@ from gristmill.session import Scope
 COSINE = 0.9
 # Numbers of a shard's vectors: 16,384 vectors of 64 numbers.
 SHARD_CELLS = 1 << 20
+# The largest shard, held whole by a task: 131,072 vectors of 64 numbers.
+MOST_CELLS = 1 << 23
 # The beam is widened until so many of the audited links are found.
 RECALL = 0.99
 AUDITED = 256
@@ -334,8 +337,7 @@ def near_vectors(
     classes = rows.filter("vec is not null").groupBy("vec").agg(F.first("vector").alias("vector"), F.count(F.lit(1)).alias("copies"))
     classes = scope.stage(classes.withColumn("dimensions", F.size("vector").cast("long")), "classes")
     sizes = classes.groupBy("dimensions").agg(F.count(F.lit(1)).alias("many"))
-    shards = F.ceil(F.col("many") * F.col("dimensions") / shard_cells).cast("long").alias("shards")
-    dealt = classes.join(sizes.select("dimensions", shards), "dimensions")
+    dealt = classes.join(sizes.select("dimensions", _shards(shard_cells).alias("shards")), "dimensions")
     shard = F.shiftleft("dimensions", 32) + F.pmod(F.xxhash64("vec", F.lit("shard")), F.col("shards"))
     dealt = dealt.select(shard.alias("shard"), "shards", "vec", "copies", "vector")
     schema = f"shard long, shards long, vec long, copies long, vector {kind}, ball long, node long, centre boolean, level int, links binary, beam long, recall double"
@@ -360,6 +362,12 @@ def near_vectors(
     return result.withColumn("kept", F.col("vec_id") == F.col("component_id")), scope
 
 
+def _shards(shard_cells: int) -> Column:
+    """How many shards ``many`` vectors of ``dimensions`` numbers are dealt to."""
+    cells = F.col("many") * F.col("dimensions")
+    return F.greatest(F.ceil(F.sqrt(cells / shard_cells)), F.ceil(cells / max(MOST_CELLS, shard_cells))).cast("long")
+
+
 def _dealt_queries(placed: DataFrame) -> DataFrame:
     """For each shard and part of the queries: the shard's rows, then the queries of all shards of its dimension."""
     every = F.sequence(F.lit(0).cast("long"), F.col("shards") - 1)

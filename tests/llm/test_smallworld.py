@@ -126,3 +126,12 @@ def test_threshold_must_be_an_angle(spark):
     assert result(spark, []) == []
     with pytest.raises(ValueError):
         result(spark, [], cosine=1.0)
+
+
+def test_searches_grow_slower_than_with_the_square(spark):
+    """A vector searches each shard: shards become larger and not only more, up to a size that a task can hold."""
+    rows = [(many, 64) for many in (1, 10_000, 51_282, 1_000_000, 100_000_000)]
+    found = spark.createDataFrame(rows, "many long, dimensions long").select("many", smallworld._shards(smallworld.SHARD_CELLS).alias("shards"))
+    shards = {r.many: r.shards for r in found.collect()}
+    assert [shards[many] for many, _ in rows[:4]] == [1, 1, 2, 8]
+    assert 100_000_000 * 64 / shards[100_000_000] <= smallworld.MOST_CELLS
