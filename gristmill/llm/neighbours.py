@@ -50,6 +50,11 @@ GROUPS = 16
 HOT = 1024
 BLOCK_ROWS = 4096
 BLOCK_QUERIES = 2048
+# Queries that are routed at a time, leaves of rows or queries that are dealt at a time, and rows of a batch that leaves
+# a task: a query visits the more leaves the larger the table is.
+ROUTED = 256
+ENTRIES = 65_536
+DEALT = 8_192
 
 
 @dataclass(frozen=True)
@@ -282,10 +287,11 @@ def _routed(
     batches: Iterator[pa.RecordBatch], forest: Forest, sizes: np.ndarray, search: int, least: int
 ) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        if batch.num_rows:
-            found = [np.array(forest.visit(q, sizes, search, least), np.int32) for q in _matrix(batch.column(1))]
-            none = pa.nulls(batch.num_rows, pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([*batch.columns, none, _leaf_lists(found)], ["id", "vector", "ids", "leaves"])
+        for start in range(0, batch.num_rows, ROUTED):
+            piece = batch.slice(start, ROUTED)
+            found = [np.array(forest.visit(q, sizes, search, least), np.int32) for q in _matrix(piece.column(1))]
+            none = pa.nulls(piece.num_rows, pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([*piece.columns, none, _leaf_lists(found)], ["id", "vector", "ids", "leaves"])
 
 
 def _dealt(
@@ -297,23 +303,31 @@ def _dealt(
     """
     own, other = (query_blocks, row_blocks) if is_query else (row_blocks, query_blocks)
     for batch in batches:
-        for start in range(0, batch.num_rows, 1024):
-            piece = batch.slice(start, 1024)
+        ends = np.cumsum(batch.column(3).value_lengths().to_numpy(zero_copy_only=False), dtype=np.int64)
+        start = 0
+        while start < batch.num_rows:
+            stop = max(start + 1, int(np.searchsorted(ends, (ends[start - 1] if start else 0) + ENTRIES, "right")))
+            piece = batch.slice(start, stop - start)
+            start = stop
             leaves = piece.column(3)
             lens = leaves.value_lengths().to_numpy(zero_copy_only=False)
             at, leaf = np.repeat(np.arange(piece.num_rows), lens), leaves.flatten().to_numpy().astype(np.int64)
             ids = piece.column(0).to_numpy()
             mine = np.abs((ids[at] * 2654435761) >> 7) % np.maximum(own[leaf], 1)
             copies = other[leaf]
-            theirs = np.arange(copies.sum()) - np.repeat(np.cumsum(copies) - copies, copies)
-            at, leaf, mine = np.repeat(at, copies), np.repeat(leaf, copies), np.repeat(mine, copies)
-            block, part = (theirs, mine) if is_query else (mine, theirs)
-            taken = piece.take(pa.array(at))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(leaf, pa.int32()), pa.array(block, pa.int32()), pa.array(part, pa.int32()),
-                 pa.array(np.full(len(at), is_query)), *taken.columns[:3]],
-                ["leaf", "block", "part", "is_query", "id", "vector", "ids"],
-            )
+            upto = np.cumsum(copies)
+            total = int(upto[-1]) if len(upto) else 0
+            for first in range(0, total, DEALT):
+                row = np.arange(first, min(first + DEALT, total))
+                entry = np.searchsorted(upto, row, "right")
+                theirs = row - (upto - copies)[entry]
+                block, part = (theirs, mine[entry]) if is_query else (mine[entry], theirs)
+                taken = piece.select([0, 1, 2]).take(pa.array(at[entry]))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(leaf[entry], pa.int32()), pa.array(block, pa.int32()), pa.array(part, pa.int32()),
+                     pa.array(np.full(len(row), is_query)), *taken.columns],
+                    ["leaf", "block", "part", "is_query", "id", "vector", "ids"],
+                )
 
 
 def _ranked(table: pa.Table, k: int) -> pa.Table:

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from gristmill.llm import neighbours
@@ -88,3 +89,24 @@ def test_a_hot_short_vector_takes_nothing_from_the_search(spark):
     assert len(out) == 71 and [v for _, v, _ in out[8_000]] == list(range(7_000, 7_010))
     recall = [len({v for _, v, _ in out[q]} & {v for _, v, _ in truth[q]}) / 10 for q in truth if q < 7_000]
     assert np.mean(recall) >= 0.9
+
+
+def test_batches_stay_small_however_many_leaves_a_query_visits():
+    queries, leaves = 300, 2_000
+    ids, visited = np.arange(queries), np.arange(leaves, dtype=np.int32)
+    vectors, none = pa.array([[float(i)] * 64 for i in ids], pa.list_(pa.float32())), pa.nulls(queries, pa.list_(pa.int64()))
+    lists = neighbours._leaf_lists([visited] * queries)
+    batch = pa.RecordBatch.from_arrays([pa.array(ids), vectors, none, lists], ["id", "vector", "ids", "leaves"])
+    row_blocks, query_blocks = np.ones(leaves, np.int64), np.ones(leaves, np.int64)
+    row_blocks[7], query_blocks[9] = 3, 2
+    met = []
+    for out in neighbours._dealt(iter([batch]), row_blocks, query_blocks, True):
+        assert out.num_rows <= 10_000 and out.nbytes < 4_000_000
+        met += zip(*(out.column(c).to_pylist() for c in ("leaf", "block", "part", "id")))
+        assert out.column("vector")[0].as_py()[0] == out.column("id")[0].as_py()
+    part = lambda q, n: abs((q * 2654435761) >> 7) % n
+    wanted = [(v, b, part(q, int(query_blocks[v])), q) for q in range(queries) for v in range(leaves) for b in range(row_blocks[v])]
+    assert sorted(met) == sorted(wanted)
+    whole = neighbours.Forest([neighbours._one_leaf()] * 3)
+    routed = list(neighbours._routed(iter([batch.select([0, 1])]), whole, np.array([5, 0, 5]), 10, 1))
+    assert [b.num_rows for b in routed] == [256, 44] and routed[1].column("leaves").to_pylist() == [[0, 2]] * 44
