@@ -5,6 +5,7 @@ from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
+from pyspark.sql import functions as F
 
 from gristmill import session
 from gristmill.session import Scope, scratch, stage
@@ -57,3 +58,17 @@ def test_overlapping_writes_restore_the_setting(spark):
     assert spark.conf.get(session.FREE_SHUFFLES) == "true"
     second.__exit__(None, None, None)
     assert spark.conf.get(session.FREE_SHUFFLES, None) == before
+
+
+def test_batches_of_long_texts_carry_few_bytes(spark):
+    from gristmill.shipping import BATCH, ship
+
+    spark.conf.unset(BATCH)
+    ship(spark)
+    long = spark.range(0, 3000, 1, 1).select(F.repeat(F.lit("x"), 10_000).alias("text"))
+    sizes = long.mapInArrow(lambda batches: (b.select([]).from_pydict({"n": [b.nbytes]}) for b in batches), "n long").collect()
+    assert max(r.n for r in sizes) < 10_000_000
+    spark.conf.set(BATCH, "16m")
+    ship(spark)
+    assert spark.conf.get(BATCH) == "16m"
+    spark.conf.unset(BATCH)
